@@ -65,8 +65,7 @@ def active_customers(customers: DataFrame) -> DataFrame:
 def priced_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Lines with the name and price of their product; lines of unknown products drop out.
 
-    The left join followed by the filter is an inner join to the optimizer.  The size of
-    the catalogue decides between broadcast and sort-merge.
+    The measured size of the catalogue decides between broadcast and sort-merge.
     """
     catalogue = products.select("product_id", "product_name", money(F.col("price")).alias("unit_price"))
     return lines.join(catalogue, "product_id").withColumn(
@@ -98,8 +97,11 @@ def pack_lines(priced: DataFrame, max_lines: int = MAX_PACKED_LINES, hot: Sequen
 
     An order of at most ``max_lines`` lines is one row with part 0.  A larger one is cut
     into as many parts as keep each near ``max_lines``, so no array grows with an order;
-    every line is in exactly one part.
+    every line is in exactly one part.  The part follows from the line and from the task
+    that reads it, so copies of one line spread too and a retried task repeats its choice.
     """
+    spread = F.xxhash64(F.spark_partition_id(), "product_id", "quantity")
+    priced = priced.withColumn("spread", spread)
     large = (
         priced.groupBy("order_id")
         .agg(F.count("*").alias("lines"))
@@ -111,9 +113,7 @@ def pack_lines(priced: DataFrame, max_lines: int = MAX_PACKED_LINES, hot: Sequen
     cut = left_join(priced, [large], "order_id", hot, ["product_id", "quantity"]).withColumns(
         {
             "parts": parts,
-            "part": F.when(
-                parts > 1, F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts).cast("int")
-            ).otherwise(0),
+            "part": F.when(parts > 1, F.pmod("spread", parts).cast("int")).otherwise(0),
         }
     )
     return (

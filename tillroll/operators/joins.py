@@ -15,27 +15,31 @@ _SALT = "_salt"
 
 
 def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> tuple[object, ...]:
-    """Keys of ``df`` that hold at least ``share`` of its rows, NULL (None) included.
+    df: DataFrame, *keys: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> tuple[tuple[object, ...], ...]:
+    """For each of ``keys``, the values that hold at least ``share`` of the rows, NULL (None) included.
 
-    One pass over the key column.  Each task keeps a fixed-size frequent-item sketch,
+    One pass over the key columns.  Each task keeps a fixed-size frequent-item sketch,
     groups of tasks merge theirs, and the last step merges those, so nothing that grows
-    with the number of keys is shuffled or collected: at most ``1 / share`` keys return.
-    The result only steers the physical plan; a missed or surplus key changes no row.
+    with the number of keys is shuffled or collected: at most ``1 / share`` values return.
+    The result only steers the physical plan; a missed or surplus value changes no row.
     """
+    most = max(1, int(1 / share))
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(1024)).alias("task_group")).agg(
-        F.expr(f"approx_top_k_accumulate(`{key}`, {_TRACKED})").alias("sketch"),
         F.count("*").alias("rows"),
+        *[F.expr(f"approx_top_k_accumulate(`{k}`, {_TRACKED})").alias(f"sketch_{i}") for i, k in enumerate(keys)],
     )
-    found = sketches.agg(
-        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
+    whole = sketches.agg(
         F.sum("rows").alias("rows"),
-    ).select(
-        "rows", F.explode(F.expr(f"approx_top_k_estimate(sketch, {max(1, int(1 / share))})")).alias("found")
-    )
-    heavy = found.filter((F.col("found.count") >= min_rows) & (F.col("found.count") >= F.col("rows") * share))
-    return tuple(row["item"] for row in heavy.select("found.item").collect())
+        *[F.expr(f"approx_top_k_combine(sketch_{i}, {_TRACKED})").alias(f"sketch_{i}") for i in range(len(keys))],
+    ).filter(F.col("rows") >= min_rows)
+    found = whole.select(
+        "rows", *[F.expr(f"approx_top_k_estimate(sketch_{i}, {most})").alias(f"top_{i}") for i in range(len(keys))]
+    ).first()
+    if found is None:
+        return tuple(() for _ in keys)
+    least = max(min_rows, found["rows"] * share)
+    return tuple(tuple(top["item"] for top in found[f"top_{i}"] if top["count"] >= least) for i in range(len(keys)))
 
 
 def left_join(
