@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillroll.functions.columns import quotient
+
 SAMPLE_ROWS = 10
 TOP_STATES = 10
 LAST_PERIODS = 6
@@ -88,7 +90,7 @@ def revenue_summary(transactions: DataFrame, amount: str = "total_amount") -> Da
     return transactions.agg(
         F.count("*").alias("transactions"),
         F.sum(amount).alias("revenue"),
-        F.avg(F.col(amount).cast("double")).alias("mean"),
+        quotient(F.sum(amount), F.count(amount)).alias("mean"),
     ).withColumn("median", exact_median(transactions, amount).scalar())
 
 
