@@ -40,9 +40,9 @@ def _typed(raw: DataFrame, name: str) -> DataFrame:
     decimals = DECIMALS.get(name, {})
     picked = []
     for column in RAW[name].names:
-        value = F.col(column).cast(decimals[column]) if column in decimals else F.col(column)
-        picked.append(value.alias(renames.get(column, column)))
-    return raw.select(*picked)
+        value = f"cast({column} as {decimals[column]})" if column in decimals else column
+        picked.append(f"{value} as {renames.get(column, column)}")
+    return raw.selectExpr(*picked)
 
 
 def customers(raw: DataFrame) -> DataFrame:

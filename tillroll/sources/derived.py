@@ -6,208 +6,177 @@ kept in whole cents until the last step, so no engine's rounding enters the inpu
 
 from __future__ import annotations
 
-from datetime import datetime
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tillroll.functions.dates import iso_text
-from tillroll.schemas import RAW
+from tillroll.rules import ISO_SECONDS
+from tillroll.schemas import RAW, TEST_TABLES
 
 ORPHAN_OFFSET = 10_000_000
-GENERATED_AT = datetime(2024, 6, 30, 0, 0, 0)
-LOADED_AT = datetime(2024, 6, 30, 1, 0, 0)
-BATCH_ID = "2024-06-30T01:00:00"
-SOURCE = "test_tables"
+BATCH = {
+    "generated_at": "timestamp_ntz'2024-06-30 00:00:00'",
+    "loaded_at": "timestamp_ntz'2024-06-30 01:00:00'",
+    "batch_id": "'2024-06-30T01:00:00'",
+    "source": "'test_tables'",
+}
 
+METHODS = ("Credit Card", "Debit Card", "PayPal", "Apple Pay", "Google Pay")
+LOADED_STATUSES = ("Completed", "Cancelled", "Pending", "Shipped")
+RAW_STATUSES = (
+    "completed", "delivered", "processing", "shipped", "pending",
+    "payment_pending", "cancelled", "refunded", "on_hold",
+)
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+PRICE_CENTS = "({}) * 7919 % 80000 + 100"
+ORDER_TIME = "o_orderdate + make_dt_interval(cast(o_orderkey % 7 as int), 0, cast(o_orderkey * 37 % 1440 as int))"
 
 
-def _pick(values: tuple[str | None, ...], number: Column) -> Column:
-    """The entry of ``values`` at ``number`` modulo its length."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TEST_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shape(df: DataFrame, name: str) -> DataFrame:
-    """Add the batch columns and cast to the contract of raw table ``name``."""
-    stamped = df.withColumns(
-        {
-            "generated_at": F.lit(GENERATED_AT).cast("timestamp_ntz"),
-            "loaded_at": F.lit(LOADED_AT).cast("timestamp_ntz"),
-            "batch_id": F.lit(BATCH_ID),
-            "source": F.lit(SOURCE),
-        }
-    )
-    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW[name].fields])
+def _cycle(number: str, *values: str | None) -> str:
+    """The entry of ``values`` at ``number`` modulo their count."""
+    listed = ", ".join("null" if v is None else f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({number} % {len(values)} as int) + 1)"
 
 
-def _price_cents(part_key: Column) -> Column:
-    return (part_key * 7919) % 80000 + 100
+def _dollars(cents: str) -> str:
+    return f"cast({cents} as double) / 100d"
 
 
-def _dollars(cents: Column) -> Column:
-    return cents.cast("double") / F.lit(100.0)
+def _shape(df: DataFrame, name: str, rules: dict[str, str]) -> DataFrame:
+    """Raw table ``name``: each contract column by its rule or the batch constant."""
+    rules = {**rules, **BATCH}
+    return df.selectExpr(
+        *[f"cast({rules[f.name]} as {f.dataType.simpleString()}) as {f.name}" for f in RAW[name].fields]
+    )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    part = table(spark, sf_dir, "part").select(
-        k.alias("id"),
-        k.alias("source_product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_type").alias("category"),
-        F.concat_ws(" ", "p_brand", "p_type", "p_name").alias("description"),
-        _dollars(_price_cents(k)).alias("price"),
-        F.when(k % 5 == 0, 0).otherwise(F.col("p_size") + k % 20).alias("discount_percentage"),
-        F.when(k % 13 == 0, 0).otherwise(k % 90).alias("stock"),
-        F.when(k % 7 == 0, "Low Stock").otherwise("In Stock").alias("availability_status"),
-        (k % 8 + 1).alias("minimum_order_qty"),
-        ((k % 46 + 5).cast("double") / F.lit(10.0)).alias("rating"),
-        _dollars(k % 700 * 5).alias("weight"),
-        _dollars(k % 31 * 100).alias("width"),
-        _dollars(k % 37 * 100).alias("height"),
-        _dollars(k % 41 * 100).alias("depth"),
-        _pick(("1 year warranty", "No warranty", None), k).alias("warranty_info"),
-        _pick(("Ships in 1 week", "Ships overnight"), k).alias("shipping_info"),
-        _pick(("30 days return policy", "No return policy", "7 days return policy", None), k).alias("return_policy"),
-        F.format_string("%012d", k).alias("barcode"),
-        F.concat(F.lit("qr-"), k.cast("string")).alias("qr_code"),
-        F.concat(F.lit("thumb-"), k.cast("string")).alias("thumbnail"),
-    )
-    return _shape(part, "raw_products")
+    k = "p_partkey"
+    rules = {
+        "id": k,
+        "source_product_id": k,
+        "product_name": "p_name",
+        "brand": "p_brand",
+        "category": "p_type",
+        "description": "concat_ws(' ', p_brand, p_type, p_name)",
+        "price": _dollars(f"({PRICE_CENTS.format(k)})"),
+        "discount_percentage": f"if({k} % 5 = 0, 0, p_size + {k} % 20)",
+        "stock": f"if({k} % 13 = 0, 0, {k} % 90)",
+        "availability_status": f"if({k} % 7 = 0, 'Low Stock', 'In Stock')",
+        "minimum_order_qty": f"{k} % 8 + 1",
+        "rating": f"cast({k} % 46 + 5 as double) / 10d",
+        "weight": _dollars(f"{k} % 700 * 5"),
+        "width": _dollars(f"{k} % 31 * 100"),
+        "height": _dollars(f"{k} % 37 * 100"),
+        "depth": _dollars(f"{k} % 41 * 100"),
+        "warranty_info": _cycle(k, "1 year warranty", "No warranty", None),
+        "shipping_info": _cycle(k, "Ships in 1 week", "Ships overnight"),
+        "return_policy": _cycle(k, "30 days return policy", "No return policy", "7 days return policy", None),
+        "barcode": f"format_string('%012d', {k})",
+        "qr_code": f"concat('qr-', {k})",
+        "thumbnail": f"concat('thumb-', {k})",
+    }
+    return _shape(table(spark, sf_dir, "part"), "raw_products", rules)
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    minutes = F.make_dt_interval(mins=(k * 31 % 1440).cast("int"))
-
-    def days_before(day: str, days: Column) -> Column:
-        return F.date_sub(F.lit(day).cast("date"), days.cast("int"))
-
-    customer = table(spark, sf_dir, "customer").select(
-        k.alias("id"),
-        k.alias("source_customer_id"),
-        F.col("c_name").alias("first_name"),
-        F.when(k % 50 != 0, F.col("c_mktsegment")).alias("last_name"),
-        F.when(k % 97 != 0, F.concat(F.lit("c"), k.cast("string"), F.lit("@example.com"))).alias("email"),
-        F.format_string("555-%07d", k).alias("phone"),
-        days_before("2010-01-01", k * 53 % 26000).alias("date_of_birth"),
-        _pick(("Male", "Female", "Other", None), k).alias("gender"),
-        F.concat(k.cast("string"), F.lit(" Main Street")).alias("street_address"),
-        F.concat(F.lit("City "), (k % 40).cast("string")).alias("city"),
-        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state"),
-        F.format_string("%05d", k % 100000).alias("zip_code"),
-        F.concat(F.lit("Country "), F.col("c_nationkey").cast("string")).alias("country"),
-        (days_before("2024-06-30", k * k % 1600).cast("timestamp_ntz") + minutes).alias("registration_date"),
-        F.when(k % 17 != 0, days_before("2024-06-30", k * 7 % 400).cast("timestamp_ntz") + minutes).alias("last_login"),
-        F.when(k % 29 != 0, k % 10 < 7).alias("is_active"),
-        F.when(k % 19 != 0, k % 2 == 0).alias("email_verified"),
-        F.when(k % 23 != 0, k % 3 == 0).alias("phone_verified"),
-        (k % 5 < 3).alias("marketing_opt_in"),
-        _pick(("Email", "Phone", "SMS", "None"), k).alias("preferred_contact_method"),
-        F.col("c_mktsegment").alias("customer_segment"),
-    )
-    return _shape(customer, "raw_customers")
-
-
-def _line_cents(lineitem: DataFrame) -> DataFrame:
+    k = "c_custkey"
+
+    def time_before(day: str, days: str) -> str:
+        minutes = f"make_dt_interval(0, 0, cast({k} * 31 % 1440 as int))"
+        return f"cast(date_sub(date'{day}', cast({days} as int)) as timestamp_ntz) + {minutes}"
+
+    rules = {
+        "id": k,
+        "source_customer_id": k,
+        "first_name": "c_name",
+        "last_name": f"if({k} % 50 = 0, null, c_mktsegment)",
+        "email": f"if({k} % 97 = 0, null, concat('c', {k}, '@example.com'))",
+        "phone": f"format_string('555-%07d', {k})",
+        "date_of_birth": f"date_sub(date'2010-01-01', cast({k} * 53 % 26000 as int))",
+        "gender": _cycle(k, "Male", "Female", "Other", None),
+        "street_address": f"concat({k}, ' Main Street')",
+        "city": f"concat('City ', {k} % 40)",
+        "state": "concat('S', c_nationkey)",
+        "zip_code": f"format_string('%05d', {k} % 100000)",
+        "country": "concat('Country ', c_nationkey)",
+        "registration_date": time_before("2024-06-30", f"{k} * {k} % 1600"),
+        "last_login": f"if({k} % 17 = 0, null, {time_before('2024-06-30', f'{k} * 7 % 400')})",
+        "is_active": f"if({k} % 29 = 0, null, {k} % 10 < 7)",
+        "email_verified": f"if({k} % 19 = 0, null, {k} % 2 = 0)",
+        "phone_verified": f"if({k} % 23 = 0, null, {k} % 3 = 0)",
+        "marketing_opt_in": f"{k} % 5 < 3",
+        "preferred_contact_method": _cycle(k, "Email", "Phone", "SMS", "None"),
+        "customer_segment": "c_mktsegment",
+    }
+    return _shape(table(spark, sf_dir, "customer"), "raw_customers", rules)
+
+
+def _line_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with unit price in cents, between 15% above and 20% below the list price."""
-    unit = F.expr("((l_partkey * 7919) % 80000 + 100) * (115 - 5 * l_linenumber) div 100")
-    quantity = F.when(F.col("l_quantity") == 50, 0).otherwise(F.col("l_quantity").cast("int") % 14 + 1)
-    return lineitem.withColumns({"unit_cents": unit, "quantity": quantity})
-
-
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("l_orderkey")
-    lines = _line_cents(table(spark, sf_dir, "lineitem")).select(
-        (k * 10 + F.col("l_linenumber")).alias("id"),
-        F.concat_ws(
-            "-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
-        ).alias("source_order_item_id"),
-        k.alias("source_order_id"),
-        (F.col("l_partkey") + F.when(k % 101 == 0, ORPHAN_OFFSET).otherwise(0)).alias("source_product_id"),
-        "quantity",
-        _dollars(F.col("unit_cents")).alias("unit_price"),
-        _dollars(F.col("unit_cents") * F.col("quantity")).alias("total_price"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "*",
+        f"({PRICE_CENTS.format('l_partkey')}) * (115 - 5 * l_linenumber) div 100 as unit_cents",
+        "if(l_quantity = 50, 0, cast(l_quantity as int) % 14 + 1) as units",
     )
-    return _shape(lines, "raw_order_items")
 
 
-def _order_time(key: Column, day: Column) -> Column:
-    return day + F.make_dt_interval(days=(key % 7).cast("int"), mins=(key * 37 % 1440).cast("int"))
+def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = {
+        "id": "l_orderkey * 10 + l_linenumber",
+        "source_order_item_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)",
+        "source_order_id": "l_orderkey",
+        "source_product_id": f"l_partkey + if(l_orderkey % 101 = 0, {ORPHAN_OFFSET}, 0)",
+        "quantity": "units",
+        "unit_price": _dollars("unit_cents"),
+        "total_price": _dollars("(unit_cents * units)"),
+    }
+    return _shape(_line_cents(spark, sf_dir), "raw_order_items", rules)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = (
-        _line_cents(table(spark, sf_dir, "lineitem"))
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum(F.col("unit_cents") * F.col("quantity")).alias("line_cents"))
-    )
-    k = F.col("o_orderkey")
-    status = (
-        "completed", "delivered", "processing", "shipped", "pending",
-        "payment_pending", "cancelled", "refunded", "on_hold",
-    )
-    fallback = F.expr("cast(round(o_totalprice * 100) as bigint) div 500")
-    orders = (
-        table(spark, sf_dir, "orders")
-        .join(totals, "o_orderkey", "left")
-        .select(
-            k.alias("id"),
-            k.alias("source_order_id"),
-            F.col("o_custkey").alias("source_customer_id"),
-            _order_time(k, F.col("o_orderdate")).alias("order_date"),
-            _pick(status, k).alias("order_status"),
-            _dollars(
-                F.when((k % 3 == 0) & F.col("line_cents").isNotNull(), F.col("line_cents")).otherwise(fallback)
-            ).alias("total_amount"),
-            _pick(("Credit Card", "Debit Card", "PayPal", "Apple Pay", "Google Pay"), k).alias("payment_method"),
-            F.concat(F.lit("Dock "), (F.col("o_custkey") % 1000).cast("string")).alias("shipping_address"),
-        )
-    )
-    return _shape(orders, "raw_orders")
+    """A third of the orders state the sum of their lines, the others an amount of their own."""
+    lines = _line_cents(spark, sf_dir).selectExpr("l_orderkey as o_orderkey", "unit_cents * units as line_cents")
+    totals = lines.groupBy("o_orderkey").sum("line_cents").toDF("o_orderkey", "line_cents")
+    stated = "cast(round(o_totalprice * 100) as bigint) div 500"
+    rules = {
+        "id": "o_orderkey",
+        "source_order_id": "o_orderkey",
+        "source_customer_id": "o_custkey",
+        "order_date": ORDER_TIME,
+        "order_status": _cycle("o_orderkey", *RAW_STATUSES),
+        "total_amount": _dollars(f"if(o_orderkey % 3 = 0 and line_cents is not null, line_cents, {stated})"),
+        "payment_method": _cycle("o_orderkey", *METHODS),
+        "shipping_address": "concat('Dock ', o_custkey % 1000)",
+    }
+    return _shape(table(spark, sf_dir, "orders").join(totals, "o_orderkey", "left"), "raw_orders", rules)
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = F.col("event_id")
-    order_key = (
-        F.when(e % 97 == 0, e + ORPHAN_OFFSET).when(e % 3 == 0, e).otherwise(F.floor(e / F.lit(4.0)))
-    )
-    delay = F.element_at(
-        F.array(e % 6, e % 55 + 6, e % 1300 + 61, e % 8000 + 1600, e % 5000 + 12000), (e % 5 + 1).cast("int")
-    )
-    order_dates = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("source_order_id"),
-        _order_time(F.col("o_orderkey"), F.col("o_orderdate")).alias("order_date"),
-    )
-    status = ("failed", "declined", "pending", "processing", "voided", "approved", "approved")
-    payments = (
-        table(spark, sf_dir, "events")
-        .withColumn("source_order_id", order_key)
-        .join(order_dates, "source_order_id", "left")
-        .select(
-            e.alias("id"),
-            e.alias("source_transaction_id"),
-            "source_order_id",
-            F.when(F.col("event_type") == "error", "refund")
-            .when(e % 11 == 0, "adjustment")
-            .otherwise("payment")
-            .alias("transaction_type"),
-            _pick(status, e).alias("transaction_status"),
-            F.coalesce(F.col("order_date") + F.make_dt_interval(mins=delay.cast("int")), F.col("ts")).alias(
-                "transaction_date"
-            ),
-            _dollars(F.round(F.col("value") * 200)).alias("amount"),
-            _pick(("Credit Card", "Debit Card", "PayPal", "Apple Pay", "Google Pay"), e).alias("payment_method"),
-            _pick(("north", "south", "east"), e).alias("processor_name"),
-            F.concat(F.lit("tx-"), e.cast("string")).alias("processor_transaction_id"),
-            F.format_string("%04d", e % 10000).alias("card_last_four"),
-        )
-    )
-    return _shape(payments, "raw_transactions")
+    e = "event_id"
+    order_key = f"if({e} % 97 = 0, {e} + {ORPHAN_OFFSET}, if({e} % 3 = 0, {e}, {e} div 4)) as o_orderkey"
+    delay = f"array({e} % 6, {e} % 55 + 6, {e} % 1300 + 61, {e} % 8000 + 1600, {e} % 5000 + 12000)"
+    minutes = f"cast(element_at({delay}, cast({e} % 5 as int) + 1) as int)"
+    rules = {
+        "id": e,
+        "source_transaction_id": e,
+        "source_order_id": "o_orderkey",
+        "transaction_type": f"if(event_type = 'error', 'refund', if({e} % 11 = 0, 'adjustment', 'payment'))",
+        "transaction_status": _cycle(
+            e, "failed", "declined", "pending", "processing", "voided", "approved", "approved"
+        ),
+        "transaction_date": f"coalesce({ORDER_TIME} + make_dt_interval(0, 0, {minutes}), ts)",
+        "amount": _dollars("round(value * 200)"),
+        "payment_method": _cycle(e, *METHODS),
+        "processor_name": _cycle(e, "north", "south", "east"),
+        "processor_transaction_id": f"concat('tx-', {e})",
+        "card_last_four": f"format_string('%04d', {e} % 10000)",
+    }
+    payments = table(spark, sf_dir, "events").selectExpr("*", order_key)
+    dates = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return _shape(payments.join(dates, "o_orderkey", "left"), "raw_transactions", rules)
 
 
 RAW_TABLES = {
@@ -219,71 +188,74 @@ RAW_TABLES = {
 }
 
 
+def _iso(column: str) -> str:
+    pattern = ISO_SECONDS.replace("'", "\\'")
+    return f"date_format({column}, '{pattern}') as {column}"
+
+
 def source_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products as the ingestion step loads them."""
-    return raw_products(spark, sf_dir).select(
-        F.col("source_product_id").alias("product_id"),
-        "product_name", "brand", "category", "price", "discount_percentage", "rating", "stock",
-        "description", "thumbnail", "weight", "width", "height", "depth", "warranty_info",
-        "shipping_info", "availability_status", "return_policy", "minimum_order_qty", "barcode",
-        "qr_code", iso_text(F.col("generated_at")).alias("generated_at"), "source", "batch_id",
+    return raw_products(spark, sf_dir).selectExpr(
+        "source_product_id as product_id", "product_name", "brand", "category", "price",
+        "discount_percentage", "rating", "stock", "description", "thumbnail", "weight", "width",
+        "height", "depth", "warranty_info", "shipping_info", "availability_status", "return_policy",
+        "minimum_order_qty", "barcode", "qr_code", _iso("generated_at"), "source", "batch_id",
     )
 
 
 def source_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as the ingestion step loads them: times are ISO text."""
-    raw = raw_customers(spark, sf_dir)
-    times = {c: iso_text(F.col(c)) for c in ("registration_date", "last_login", "generated_at")}
-    return raw.withColumns(times).withColumnRenamed("source_customer_id", "customer_id").drop("id", "loaded_at")
+    times = ("registration_date", "last_login", "generated_at")
+    kept = [c for c in RAW["raw_customers"].names if c not in ("id", "source_customer_id", "loaded_at", *times)]
+    return raw_customers(spark, sf_dir).selectExpr(
+        "source_customer_id as customer_id", *kept, *[_iso(c) for c in times]
+    )
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Basket lines before pricing: order, product and quantity (1 to 3)."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        (F.col("l_quantity").cast("int") % 3 + 1).alias("quantity"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as order_id", "l_partkey as product_id", "cast(l_quantity as int) % 3 + 1 as quantity"
     )
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-level facts that pricing does not produce."""
-    k = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        k.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _order_time(k, F.col("o_orderdate")).alias("ordered_at"),
-        _pick(("Completed", "Cancelled", "Pending", "Shipped"), k).alias("order_status"),
-        _pick(("Credit Card", "Debit Card", "PayPal", "Apple Pay", "Google Pay"), k).alias("payment_method"),
-        _pick(("Standard", "Express", "Next Day"), k).alias("shipping_method"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as order_id",
+        "o_custkey as customer_id",
+        f"{ORDER_TIME} as ordered_at",
+        f"{_cycle('o_orderkey', *LOADED_STATUSES)} as order_status",
+        f"{_cycle('o_orderkey', *METHODS)} as payment_method",
+        f"{_cycle('o_orderkey', 'Standard', 'Express', 'Next Day')} as shipping_method",
     )
 
 
 def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed product documents, one JSON text per row.
 
-    Some documents lack the dimensions, the meta block or the price.
+    Some products lack the price, the dimensions or the meta block.
     """
-    raw = raw_products(spark, sf_dir)
-    k = F.col("source_product_id")
-    record = F.struct(
-        k.alias("id"),
-        F.col("product_name").alias("title"),
-        "brand",
-        "category",
-        F.when(k % 43 != 0, F.col("price")).alias("price"),
-        F.col("discount_percentage").alias("discountPercentage"),
-        "rating",
-        "stock",
-        "description",
-        "thumbnail",
-        "weight",
-        F.when(k % 47 != 0, F.struct("width", "height", "depth")).alias("dimensions"),
-        F.col("warranty_info").alias("warrantyInformation"),
-        F.col("shipping_info").alias("shippingInformation"),
-        F.col("availability_status").alias("availabilityStatus"),
-        F.col("return_policy").alias("returnPolicy"),
-        F.col("minimum_order_qty").alias("minimumOrderQuantity"),
-        F.when(k % 53 != 0, F.struct("barcode", F.col("qr_code").alias("qrCode"))).alias("meta"),
-    )
-    return raw.select(F.to_json(F.struct(F.array(record).alias("products"))).alias("value"))
+    k = "source_product_id"
+    fields = {
+        "id": k,
+        "title": "product_name",
+        "brand": "brand",
+        "category": "category",
+        "price": f"if({k} % 43 = 0, null, price)",
+        "discountPercentage": "discount_percentage",
+        "rating": "rating",
+        "stock": "stock",
+        "description": "description",
+        "thumbnail": "thumbnail",
+        "weight": "weight",
+        "dimensions": f"if({k} % 47 = 0, null, struct(width, height, depth))",
+        "warrantyInformation": "warranty_info",
+        "shippingInformation": "shipping_info",
+        "availabilityStatus": "availability_status",
+        "returnPolicy": "return_policy",
+        "minimumOrderQuantity": "minimum_order_qty",
+        "meta": f"if({k} % 53 = 0, null, struct(barcode, qr_code as qrCode))",
+    }
+    record = ", ".join(f"{rule} as {name}" for name, rule in fields.items())
+    return raw_products(spark, sf_dir).selectExpr(f"to_json(struct(array(struct({record})) as products)) as value")
