@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import NO_MONEY, quotient
+from tillroll.functions.columns import NO_MONEY, money_sum, quotient
 from tillroll.rules import PAYMENT, REFUND, STATUS_COUNTS
 
 ITEM_COUNTS = ("item_count", "total_items_quantity")
@@ -18,8 +18,8 @@ def item_totals(items: DataFrame) -> DataFrame:
     return items.groupBy("source_order_id").agg(
         F.count("*").alias("item_count"),
         F.sum("quantity").alias("total_items_quantity"),
-        F.sum("total_price").alias("calculated_order_total"),
-        quotient(F.sum(price), F.count(price)).alias("avg_item_price"),
+        money_sum(F.col("total_price")).alias("calculated_order_total"),
+        quotient(money_sum(price), F.count(price)).alias("avg_item_price"),
         F.max(price).alias("max_item_price"),
         F.min(price).alias("min_item_price"),
     )
@@ -41,9 +41,9 @@ def transaction_totals(transactions: DataFrame) -> DataFrame:
     # A refund is negated as stored, so a refund stored below zero adds to the net.
     return transactions.groupBy("source_order_id").agg(
         F.count("*").alias("transaction_count"),
-        F.sum(F.when(paid, amount).otherwise(NO_MONEY)).alias("total_payments"),
-        F.sum(F.when(refunded, amount).otherwise(NO_MONEY)).alias("total_refunds"),
-        F.sum(F.when(paid, amount).when(refunded, -amount).otherwise(NO_MONEY)).alias("net_transaction_amount"),
+        money_sum(F.when(paid, amount).otherwise(NO_MONEY)).alias("total_payments"),
+        money_sum(F.when(refunded, amount).otherwise(NO_MONEY)).alias("total_refunds"),
+        money_sum(F.when(paid, amount).when(refunded, -amount).otherwise(NO_MONEY)).alias("net_transaction_amount"),
         F.count_if(paid).alias("payment_count"),
         F.count_if(refunded).alias("refund_count"),
         *[F.count_if(status == s).alias(f"{s}_transaction_count") for s in STATUS_COUNTS],
