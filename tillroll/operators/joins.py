@@ -29,7 +29,8 @@ def hot_keys(
         F.count("*").alias("rows"),
         *[F.expr(f"approx_top_k_accumulate(`{k}`, {_TRACKED})").alias(f"sketch_{i}") for i, k in enumerate(keys)],
     )
-    whole = sketches.agg(
+    # Grouped by a constant: an empty table then has no group, and no sketch to merge.
+    whole = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.sum("rows").alias("rows"),
         *[F.expr(f"approx_top_k_combine(sketch_{i}, {_TRACKED})").alias(f"sketch_{i}") for i in range(len(keys))],
     ).filter(F.col("rows") >= min_rows)
