@@ -14,9 +14,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import SparkSession  # noqa: E402
-
 from tillroll.plans.registry import all_queries  # noqa: E402
+from tillroll.session import local_session  # noqa: E402
 
 HEADLINE = (
     "stg_products",
@@ -44,18 +43,8 @@ HEADLINE = (
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("tillroll-bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    spark = local_session("tillroll-bench", cpus)
     named = all_queries()
 
     def run(name: str) -> float:

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.operators.joins import hot_keys, left_join
+from tillroll.operators.joins import hot_keys, join
 
 
 @pytest.fixture(scope="module")
@@ -43,14 +43,25 @@ def test_hot_keys_of_an_empty_table(skewed):
 @pytest.mark.parametrize("hot", [(7,), (None,), (7, None), (7, 1001, 424242, None)])
 def test_spreading_changes_no_row(skewed, facts, hot):
     names = facts.selectExpr("key", "concat('n', fact) as name").filter("fact <> -1")
-    plain = left_join(skewed, [facts, names], "key").select("key", "payload", "fact", "name")
-    spread = left_join(skewed, [facts, names], "key", hot, ["payload"], spread=16)
+    plain = join(skewed, [facts, names], "key").select("key", "payload", "fact", "name")
+    spread = join(skewed, [facts, names], "key", hot, ["payload"], spread=16)
     assert "_salt" not in spread.columns
     rows = Counter(map(tuple, plain.collect()))
     assert Counter(map(tuple, spread.select("key", "payload", "fact", "name").collect())) == rows
     assert sum(rows.values()) == 16000  # 4000 lines of key 7 match twice
 
 
+def test_an_inner_join_spreads_too(skewed, facts):
+    plain = join(skewed, [facts], "key", how="inner").select("key", "payload", "fact")
+    spread = join(skewed, [facts], "key", (7, None), ["payload"], "inner", 16).select("key", "payload", "fact")
+    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_other_joins_are_refused(skewed, facts):
+    with pytest.raises(ValueError):
+        join(skewed, [facts], "key", how="full")
+
+
 def most_in_one_task(df, condition):
     sizes = df.filter(condition).groupBy(F.spark_partition_id().alias("task")).count()
     return sizes.agg(F.max("count")).first()[0]
@@ -63,8 +74,8 @@ def test_a_hot_key_reaches_many_tasks(spark, skewed, facts, condition):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        plain = most_in_one_task(left_join(skewed, [facts], "key"), condition)
-        spread = most_in_one_task(left_join(skewed, [facts], "key", (7, None), ["payload"], spread=64), condition)
+        plain = most_in_one_task(join(skewed, [facts], "key"), condition)
+        spread = most_in_one_task(join(skewed, [facts], "key", (7, None), ["payload"], spread=64), condition)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

@@ -86,3 +86,30 @@ def test_refresh_writes_every_model_and_checks_it(spark):
         assert spark.table(f"{layer}.{name}").count() == 5
     again = refresh(spark, lambda name: clean(spark, name), date(2024, 7, 1))
     assert set(results(again).values()) == {0}
+
+
+def test_bucketed_refresh_builds_orders_without_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = results(refresh(spark, lambda name: clean(spark, name), date(2024, 7, 1), buckets=4))
+        assert len(got) == 43 and set(got.values()) == {0}
+        staged = Retail(lambda name: None, date(2024, 7, 1))
+        staged._models = {name: spark.table(f"staging.{name}") for name in UNIQUE if name.startswith("stg_")}
+        plan = staged["transform_orders"]._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_hot_order_keeps_its_table_unbucketed(spark):
+    def find_hot(df, *keys):
+        hot = (1,) if "source_order_item_id" in df.columns else ()
+        return tuple(hot if key == "source_order_id" else () for key in keys)
+
+    refresh(spark, lambda name: clean(spark, name), date(2024, 7, 1), 4, find_hot).collect()
+
+    def is_bucketed(table):
+        return any(c.isBucket for c in spark.catalog.listColumns(table))
+
+    assert is_bucketed("staging.stg_orders") and not is_bucketed("staging.stg_order_items")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import MONEY, ladder, money
 from tillroll.functions.dates import elapsed_days, iso_text
-from tillroll.operators.joins import left_join
+from tillroll.operators.joins import join
 from tillroll.rules import CUSTOMER_SEGMENT, FREE_SHIPPING_ABOVE, ORDER_CODE_FORMAT, SHIPPING_FEE, TAX_RATE
 
 MAX_PACKED_LINES = 1000
@@ -62,13 +62,14 @@ def active_customers(customers: DataFrame) -> DataFrame:
     return customers.filter("is_active").select("customer_id")
 
 
-def priced_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+def priced_lines(lines: DataFrame, products: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
     """Lines with the name and price of their product; lines of unknown products drop out.
 
-    The measured size of the catalogue decides between broadcast and sort-merge.
+    The measured size of the catalogue decides between broadcast and sort-merge; ``hot``
+    products spread over tasks in the second case.
     """
     catalogue = products.select("product_id", "product_name", money(F.col("price")).alias("unit_price"))
-    return lines.join(catalogue, "product_id").withColumn(
+    return join(lines, [catalogue], "product_id", hot, ["order_id", "quantity"], "inner").withColumn(
         "item_total", (F.col("unit_price") * F.col("quantity")).cast(MONEY)
     )
 
@@ -110,7 +111,7 @@ def pack_lines(priced: DataFrame, max_lines: int = MAX_PACKED_LINES, hot: Sequen
     )
     line = F.struct("product_id", "product_name", "quantity", "unit_price", "item_total")
     parts = F.coalesce(F.col("parts"), F.lit(1))
-    cut = left_join(priced, [large], "order_id", hot, ["product_id", "quantity"]).withColumns(
+    cut = join(priced, [large], "order_id", hot, ["product_id", "quantity"]).withColumns(
         {
             "parts": parts,
             "part": F.when(parts > 1, F.pmod("spread", parts).cast("int")).otherwise(0),

@@ -1,4 +1,4 @@
-"""Left joins that survive a key holding a large part of the rows."""
+"""Joins that survive a key holding a large part of the rows."""
 
 from __future__ import annotations
 
@@ -43,41 +43,51 @@ def hot_keys(
     return tuple(tuple(top["item"] for top in found[f"top_{i}"] if top["count"] >= least) for i in range(len(keys)))
 
 
-def left_join(
+def _spread(
+    left: DataFrame, rights: Sequence[DataFrame], key: str, hot: Sequence[object], by: Sequence[str], ways: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Both sides with a sub-key: hot left rows take one of ``ways``, hot right rows take all."""
+    named = [value for value in hot if value is not None]
+
+    def is_hot() -> Column:
+        return F.col(key).isin(named) if named else F.lit(False)
+
+    spreads = is_hot() | F.col(key).isNull() if None in hot else is_hot()
+    bucket = F.pmod(F.xxhash64(F.spark_partition_id(), *by), F.lit(ways)).cast("int")
+    every = F.when(is_hot(), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    return (
+        left.withColumn(_SALT, F.when(spreads, bucket).otherwise(0)),
+        [right.withColumn(_SALT, F.explode(every)) for right in rights],
+    )
+
+
+def join(
     left: DataFrame,
     rights: Sequence[DataFrame],
     key: str,
     hot: Sequence[object] = (),
     spread_by: Sequence[str] = (),
+    how: str = "left",
     spread: int = SPREAD,
 ) -> DataFrame:
-    """``left`` LEFT JOIN each of ``rights`` on ``key``.
+    """``left`` joined (left or inner) with each of ``rights`` on ``key``.
 
     No side is broadcast by hint: Spark broadcasts a side its own statistics show to be
     under the threshold, and otherwise sort-merges with a single shuffle per input.
 
     With ``hot`` keys, their left rows go to ``spread`` sub-keys and the right rows of
-    those keys (bounded in number by the length of ``hot`` where the right side is unique)
-    are repeated once per sub-key, so no task holds one key whole.  None spreads the
-    NULL-key rows, which match nothing.  The sub-key depends on the task and on the
-    ``spread_by`` columns, so copies of one row also spread, and a retried task repeats it.
+    those keys (as many as ``hot`` has values, where the right side is unique) are repeated
+    once per sub-key, so no task holds one key whole.  None spreads the NULL-key rows,
+    which match nothing.  The sub-key depends on the task and on the ``spread_by``
+    columns, so copies of one row also spread, and a retried task repeats its choice.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"cannot spread a {how} join")
     keys = [key]
     if hot:
+        left, rights = _spread(left, rights, key, hot, spread_by, spread)
         keys.append(_SALT)
-        named = [value for value in hot if value is not None]
-
-        def is_hot() -> Column:
-            return F.col(key).isin(named) if named else F.lit(False)
-
-        spreads = is_hot() | F.col(key).isNull() if None in hot else is_hot()
-        bucket = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), F.lit(spread)).cast("int")
-        left = left.withColumn(_SALT, F.when(spreads, bucket).otherwise(0))
-        every = F.sequence(F.lit(0), F.lit(spread - 1))
-        rights = [
-            r.withColumn(_SALT, F.explode(F.when(is_hot(), every).otherwise(F.array(F.lit(0))))) for r in rights
-        ]
     joined = left
     for right in rights:
-        joined = joined.join(right, keys, "left")
+        joined = joined.join(right, keys, how)
     return joined.drop(_SALT)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import NO_MONEY, flag, ladder, percent, quotient
 from tillroll.functions.dates import month_start, week_start
-from tillroll.operators.joins import left_join
+from tillroll.operators.joins import join
 from tillroll.rules import PRICE_TIER, QUANTITY_CATEGORY
 
 PRODUCT_KEY = "source_product_id"
@@ -26,7 +26,7 @@ def with_products(items: DataFrame, products: DataFrame, hot: Sequence[object] =
         F.col("price").alias("current_product_price"),
         "minimum_order_quantity",
     )
-    return left_join(items, [facts], PRODUCT_KEY, hot, ["source_order_item_id"])
+    return join(items, [facts], PRODUCT_KEY, hot, ["source_order_item_id"])
 
 
 def with_orders(items: DataFrame, orders: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
@@ -39,7 +39,7 @@ def with_orders(items: DataFrame, orders: DataFrame, hot: Sequence[object] = ())
         "order_status_category",
         F.col("total_amount").alias("order_total_amount"),
     )
-    return left_join(items, [facts], ORDER_KEY, hot, ["source_order_item_id"])
+    return join(items, [facts], ORDER_KEY, hot, ["source_order_item_id"])
 
 
 def order_items(

@@ -18,7 +18,7 @@ from tillroll.operators.aggregates import (
     item_totals,
     transaction_totals,
 )
-from tillroll.operators.joins import left_join
+from tillroll.operators.joins import join
 from tillroll.rules import (
     AMOUNT_SIZE,
     DISCREPANCY_TOLERANCE,
@@ -40,12 +40,12 @@ KEY = "source_order_id"
 
 def with_items(staged_orders: DataFrame, staged_items: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
     """Every order beside the totals of its items, NULL where it has none."""
-    return left_join(staged_orders, [item_totals(staged_items)], KEY, hot, ["source_customer_id", "order_date"])
+    return join(staged_orders, [item_totals(staged_items)], KEY, hot, ["source_customer_id", "order_date"])
 
 
 def with_transactions(orders: DataFrame, staged_transactions: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
     """Every order beside the totals of its payments, NULL where it has none."""
-    return left_join(
+    return join(
         orders, [transaction_totals(staged_transactions)], KEY, hot, ["source_customer_id", "order_date"]
     )
 
@@ -62,7 +62,7 @@ def orders(
     Both aggregates come out partitioned by the join key, so three shuffles serve the
     two groupings and the two joins.
     """
-    joined = left_join(
+    joined = join(
         staged_orders.drop("id"),
         [item_totals(staged_items), transaction_totals(staged_transactions)],
         KEY,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import first_match, flag, grouped, ladder
 from tillroll.functions.dates import boundary_diff, day_of_week, month_start, week_start
-from tillroll.operators.joins import left_join
+from tillroll.operators.joins import join
 from tillroll.rules import (
     AMOUNT_SIZE,
     APPROVED,
@@ -33,7 +33,7 @@ def with_orders(transactions: DataFrame, orders: DataFrame, hot: Sequence[object
         "order_status",
         F.col("total_amount").alias("order_total_amount"),
     )
-    return left_join(transactions, [facts], KEY, hot, ["source_transaction_id"])
+    return join(transactions, [facts], KEY, hot, ["source_transaction_id"])
 
 
 def transactions(staged: DataFrame, orders: DataFrame, hot: Sequence[object] = ()) -> DataFrame:

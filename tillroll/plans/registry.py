@@ -134,17 +134,20 @@ def _raw(name: str) -> Query:
 # --- ingestion ---------------------------------------------------------------
 
 
-def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.priced_lines(derived.order_lines(spark, sf_dir), derived.source_products(spark, sf_dir))
+def _lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
+    """Priced lines and the hot orders among them."""
+    lines = derived.order_lines(spark, sf_dir)
+    hot_products, hot_orders = hot_keys(lines, "product_id", "order_id")
+    return ingest.priced_lines(lines, derived.source_products(spark, sf_dir), hot_products), hot_orders
 
 
-def _hot_orders(spark: SparkSession, sf_dir: str) -> tuple:
-    return hot_keys(derived.order_lines(spark, sf_dir), "order_id")[0]
+def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir)[0]
 
 
 def _source_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers = derived.order_headers(spark, sf_dir)
-    return ingest.assemble_transactions(headers, _priced(spark, sf_dir), _hot_orders(spark, sf_dir))
+    priced, hot_orders = _lines(spark, sf_dir)
+    return ingest.assemble_transactions(derived.order_headers(spark, sf_dir), priced, hot_orders)
 
 
 def _transaction_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +168,8 @@ def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.pack_lines(_priced(spark, sf_dir), hot=_hot_orders(spark, sf_dir))
+    priced, hot_orders = _lines(spark, sf_dir)
+    return ingest.pack_lines(priced, hot=hot_orders)
 
 
 def _items_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
