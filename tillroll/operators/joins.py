@@ -23,22 +23,22 @@ def hot_keys(
     groups of tasks merge theirs, and the last step merges those, so nothing that grows
     with the number of keys is shuffled or collected: at most ``1 / share`` values return.
     The result only steers the physical plan; a missed or surplus value changes no row.
+    A table of fewer than ``min_rows`` rows is only counted.
     """
+    if df.select(*keys).count() < min_rows:
+        return tuple(() for _ in keys)
     most = max(1, int(1 / share))
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(1024)).alias("task_group")).agg(
         F.count("*").alias("rows"),
         *[F.expr(f"approx_top_k_accumulate(`{k}`, {_TRACKED})").alias(f"sketch_{i}") for i, k in enumerate(keys)],
     )
-    # Grouped by a constant: an empty table then has no group, and no sketch to merge.
-    whole = sketches.groupBy(F.lit(0).alias("all")).agg(
+    whole = sketches.agg(
         F.sum("rows").alias("rows"),
         *[F.expr(f"approx_top_k_combine(sketch_{i}, {_TRACKED})").alias(f"sketch_{i}") for i in range(len(keys))],
-    ).filter(F.col("rows") >= min_rows)
+    )
     found = whole.select(
         "rows", *[F.expr(f"approx_top_k_estimate(sketch_{i}, {most})").alias(f"top_{i}") for i in range(len(keys))]
     ).first()
-    if found is None:
-        return tuple(() for _ in keys)
     least = max(min_rows, found["rows"] * share)
     return tuple(tuple(top["item"] for top in found[f"top_{i}"] if top["count"] >= least) for i in range(len(keys)))
 

@@ -29,24 +29,19 @@ def check_model(df: DataFrame, model: str) -> DataFrame:
     NULLs per column, counted on the map side first, so a repeated key does not pile up.
     """
     key, required = UNIQUE[model], NOT_NULL[model]
-    nulls = {column: f"null_{i}" for i, column in enumerate(required)}
     groups = df.groupBy(F.col(key).alias("key")).agg(
-        F.count("*").alias("rows"), *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()]
+        F.count("*").alias("rows"),
+        *[F.expr(f"count_if({column} is null) as null_{i}") for i, column in enumerate(required)],
     )
     totals = groups.agg(
-        F.count_if(F.col("key").isNotNull() & (F.col("rows") > 1)).alias("repeated"),
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in nulls.values()],
+        F.expr("count_if(key is not null and rows > 1) as repeated"),
+        *[F.expr(f"coalesce(sum(null_{i}), 0L) as null_{i}") for i in range(len(required))],
     )
-    checks = [(c, "not_null", n) for c, n in nulls.items()] + [(key, "unique", "repeated")]
-    results = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.lit(test).alias("test"), F.col(n).alias("failures"))
-            for c, test, n in checks
-        ]
-    )
-    return totals.select(F.lit(model).alias("model"), F.inline(results))
+    checks = [(c, "not_null", f"null_{i}") for i, c in enumerate(required)] + [(key, "unique", "repeated")]
+    rows = ", ".join(f"struct('{c}' as column, '{test}' as test, {n} as failures)" for c, test, n in checks)
+    return totals.selectExpr(f"'{model}' as model", f"inline(array({rows}))")
 
 
 def suite(models: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared check of the given models."""
-    return reduce(DataFrame.unionByName, [check_model(df, name) for name, df in models.items()])
+    return reduce(DataFrame.unionAll, [check_model(df, name) for name, df in models.items()])

@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _cycle(number: str, *values: str | None) -> str:
     """The entry of ``values`` at ``number`` modulo their count."""
     listed = ", ".join("null" if v is None else f"'{v}'" for v in values)
-    return f"element_at(array({listed}), cast({number} % {len(values)} as int) + 1)"
+    return f"elt(cast({number} % {len(values)} as int) + 1, {listed})"
 
 
 def _dollars(cents: str) -> str:
