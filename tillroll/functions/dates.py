@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillroll.rules import ISO_SECONDS
-
 
 def boundary_diff(unit: str, start: Column, end: Column) -> Column:
     """Number of ``unit`` boundaries crossed from ``start`` to ``end``.
@@ -33,8 +31,8 @@ def boundary_diff(unit: str, start: Column, end: Column) -> Column:
 
 
 def elapsed_days(start: Column, end: Column) -> Column:
-    """Whole 24-hour periods between two times."""
-    return F.timestamp_diff("DAY", start, end)
+    """Whole 24-hour periods between two zone-free times."""
+    return F.extract(F.lit("DAY"), end - start)
 
 
 def day_of_week(when: Column) -> Column:
@@ -52,8 +50,14 @@ def week_start(when: Column) -> Column:
 
 
 def iso_text(when: Column) -> Column:
-    return F.date_format(when, ISO_SECONDS)
+    """ISO 8601 to the second.  Formatting by pattern would read the time in the session zone."""
+    return F.replace(F.substring(when.cast("string"), 1, 19), F.lit(" "), F.lit("T"))
 
 
 def midnight(day: date) -> Column:
     return F.lit(day).cast("timestamp_ntz")
+
+
+def moment(at: datetime) -> Column:
+    """A Python time as a zone-free literal; a plain literal would shift with the session zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -7,6 +7,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tillroll.functions.dates import midnight
+
 
 class EmptyBatch(ValueError):
     """A batch that must hold rows has none."""
@@ -39,6 +41,5 @@ def batch_metrics(df: DataFrame, by: str = "batch_id", revenue: str | None = Non
 
 def day_slice(df: DataFrame, as_of: date, column: str = "order_date") -> DataFrame:
     """Rows of the day before ``as_of``, as a range that Parquet can skip by."""
-    start = F.lit(as_of - timedelta(days=1)).cast("timestamp_ntz")
-    end = F.lit(as_of).cast("timestamp_ntz")
+    start, end = midnight(as_of - timedelta(days=1)), midnight(as_of)
     return df.filter((F.col(column) >= start) & (F.col(column) < end))

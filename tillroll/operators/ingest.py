@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import MONEY, ladder, money
-from tillroll.functions.dates import elapsed_days, iso_text
+from tillroll.functions.dates import elapsed_days, iso_text, moment
 from tillroll.operators.joins import join
 from tillroll.rules import CUSTOMER_SEGMENT, FREE_SHIPPING_ABOVE, ORDER_CODE_FORMAT, SHIPPING_FEE, TAX_RATE
 
@@ -53,7 +53,7 @@ def flatten_products(documents: DataFrame) -> DataFrame:
 
 def with_segment(customers: DataFrame, as_of: datetime, registered: str = "registration_date") -> DataFrame:
     """Segment by whole 24-hour days since registration."""
-    days = elapsed_days(F.col(registered).cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz"))
+    days = elapsed_days(F.col(registered).cast("timestamp_ntz"), moment(as_of))
     return customers.withColumn("customer_segment", ladder(days, CUSTOMER_SEGMENT))
 
 

@@ -185,7 +185,6 @@ TAX_RATE = Decimal("0.08")
 FREE_SHIPPING_ABOVE = Decimal("50.00")
 SHIPPING_FEE = Decimal("5.99")
 ORDER_CODE_FORMAT = "ORD-%08d"
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 SNAPSHOT_STAMP = "%Y%m%d_%H%M%S"
 
 # --- fixed values: declared column checks ------------------------------------

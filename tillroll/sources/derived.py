@@ -7,8 +7,9 @@ kept in whole cents until the last step, so no engine's rounding enters the inpu
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.rules import ISO_SECONDS
+from tillroll.functions.dates import iso_text
 from tillroll.schemas import RAW, TEST_TABLES
 
 ORPHAN_OFFSET = 10_000_000
@@ -188,28 +189,21 @@ RAW_TABLES = {
 }
 
 
-def _iso(column: str) -> str:
-    pattern = ISO_SECONDS.replace("'", "\\'")
-    return f"date_format({column}, '{pattern}') as {column}"
-
-
 def source_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products as the ingestion step loads them."""
     return raw_products(spark, sf_dir).selectExpr(
         "source_product_id as product_id", "product_name", "brand", "category", "price",
         "discount_percentage", "rating", "stock", "description", "thumbnail", "weight", "width",
         "height", "depth", "warranty_info", "shipping_info", "availability_status", "return_policy",
-        "minimum_order_qty", "barcode", "qr_code", _iso("generated_at"), "source", "batch_id",
-    )
+        "minimum_order_qty", "barcode", "qr_code", "generated_at", "source", "batch_id",
+    ).withColumn("generated_at", iso_text(F.col("generated_at")))
 
 
 def source_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as the ingestion step loads them: times are ISO text."""
-    times = ("registration_date", "last_login", "generated_at")
-    kept = [c for c in RAW["raw_customers"].names if c not in ("id", "source_customer_id", "loaded_at", *times)]
-    return raw_customers(spark, sf_dir).selectExpr(
-        "source_customer_id as customer_id", *kept, *[_iso(c) for c in times]
-    )
+    loaded = raw_customers(spark, sf_dir).drop("id", "loaded_at")
+    times = {c: iso_text(F.col(c)) for c in ("registration_date", "last_login", "generated_at")}
+    return loaded.withColumnRenamed("source_customer_id", "customer_id").withColumns(times)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.dates import iso_text
 from tillroll.rules import SNAPSHOT_STAMP
 from tillroll.schemas import RAW
 
@@ -44,7 +43,7 @@ def reference_scan(loaded: DataFrame, name: str) -> DataFrame:
 
 def stamp(df: DataFrame, at: datetime, source: str | None = None) -> DataFrame:
     """Batch columns: one time for the whole batch, as ISO text."""
-    text = iso_text(F.lit(at).cast("timestamp_ntz"))
+    text = F.lit(at.isoformat(timespec="seconds"))
     stamped = df.withColumn("batch_id", text)
     if source is None:
         return stamped
