@@ -233,6 +233,10 @@ FROM ordered""",
         "p15_items": _frequencies("ordered", "num_items"),
         "p16_revenue_raw": _periods("ordered_at"),
         "p17_revenue_month": _periods("date_trunc('month', ordered_at)::DATE"),
+        "m2_load_metrics": f"""
+SELECT '{FIRST}' AS batch_id, COUNT(*) AS rows, SUM(total_amount)::DECIMAL(28,2) AS revenue,
+  COUNT(*) AS reported_rows, SUM(total_amount)::DECIMAL(28,2) AS reported_revenue
+FROM ordered""",
         "m1_batch_rows": "SELECT ordered_at::DATE::VARCHAR AS batch_id, COUNT(*) AS rows FROM ordered GROUP BY 1",
         "m2_batch_revenue": """
 SELECT ordered_at::DATE::VARCHAR AS batch_id, COUNT(*) AS rows, SUM(total_amount)::DECIMAL(28,2) AS revenue

@@ -114,3 +114,39 @@ def revenue_by_month(transactions: DataFrame, amount: str = "total_amount") -> D
     """Revenue of the last months."""
     month = F.trunc(F.col("order_date").cast("timestamp_ntz").cast("date"), "month")
     return _last_periods(transactions, month, amount)
+
+
+def product_profile(products: DataFrame) -> dict[str, DataFrame]:
+    """The product report, one lazy frame per section."""
+    return {
+        "rows": row_count(products),
+        "categories": distinct_count(products, "category"),
+        "brands": distinct_count(products, "brand"),
+        "sample": first_rows(products, PRODUCT_SAMPLE, "product_id"),
+    }
+
+
+def customer_profile(customers: DataFrame) -> dict[str, DataFrame]:
+    """The customer report, one lazy frame per section."""
+    return {
+        "rows": row_count(customers),
+        "active": share_true(customers, "is_active"),
+        "email_verified": share_true(customers, "email_verified"),
+        "marketing_opt_in": share_true(customers, "marketing_opt_in"),
+        "segments": value_counts(customers, "customer_segment"),
+        "genders": value_counts(customers, "gender"),
+        "top_states": value_counts(customers, "state", TOP_STATES),
+        "sample": first_rows(customers, CUSTOMER_SAMPLE, "customer_id"),
+    }
+
+
+def transaction_profile(transactions: DataFrame) -> dict[str, DataFrame]:
+    """The transaction report, one lazy frame per section."""
+    return {
+        "summary": revenue_summary(transactions),
+        "statuses": value_counts(transactions, "order_status"),
+        "payment_methods": value_counts(transactions, "payment_method"),
+        "items_per_order": counts_by_value(transactions, "num_items"),
+        "revenue_by_time": revenue_by_time(transactions),
+        "revenue_by_month": revenue_by_month(transactions),
+    }

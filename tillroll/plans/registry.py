@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import batch, ingest, order_items, orders, profiles, quality, transactions
 from tillroll.operators.aggregates import item_totals, transaction_totals
 from tillroll.operators.joins import hot_keys
+from tillroll.plans import loads
 from tillroll.plans.retail import STAGED, TRANSFORMED, Retail
 from tillroll.rules import NOT_NULL, UNIQUE
 from tillroll.sources import adapters, derived, tables
@@ -241,6 +242,18 @@ def _overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _loaded_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every order as one batch and read the table back: what the load reports is what it wrote."""
+    name = _new_table("transactions")
+    lines, products = derived.order_lines(spark, sf_dir), derived.source_products(spark, sf_dir)
+    metrics = loads.load_transactions(
+        derived.order_headers(spark, sf_dir), lines, products, name, INGESTED_AT, "source", _fresh(spark)
+    )
+    reported = F.lit(metrics["rows"]).cast("bigint"), F.lit(metrics["revenue"]).cast("decimal(28,2)")
+    written = batch.batch_metrics(spark.table(name), revenue="total_amount")
+    return written.withColumns({"reported_rows": reported[0], "reported_revenue": reported[1]})
+
+
 def _materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     layer = f"tillroll_{uuid4().hex}"
     return tables.materialize(retail(spark, sf_dir)["stg_orders"], layer, "stg_orders")
@@ -413,6 +426,7 @@ def all_queries() -> dict[str, Query]:
         "p17_revenue_month": _transactions_profile(profiles.revenue_by_month),
         "m1_batch_rows": lambda s, d: batch.batch_metrics(_daily_batches(s, d)),
         "m2_batch_revenue": lambda s, d: batch.batch_metrics(_daily_batches(s, d), revenue="total_amount"),
+        "m2_load_metrics": _loaded_metrics,
         "m3_day_slice": lambda s, d: batch.day_slice(
             derived.raw_orders(s, d), DAY_SLICE_AS_OF
         ).select("source_order_id", "order_date", "total_amount"),
