@@ -74,7 +74,7 @@ def test_pricing_and_free_shipping(spark):
     assert facts(6) == (D("0.10"), D("0.01"), D("5.99"), D("6.10"), 1)
 
 
-@pytest.mark.parametrize("hot", [(), (1,)])
+@pytest.mark.parametrize("hot", [{}, {1: 0.9}])
 def test_packed_lines_hold_every_line_once(spark, hot):
     lines = [(1, i % 5, i % 3 + 1) for i in range(2500)] + [(2, 0, 1), (2, 1, 1), (3, 4, 2)]
     priced = price(spark, lines, [(i, f"Men's \"{i}\"", 1.5 * i) for i in range(5)])

@@ -9,7 +9,7 @@ from tillroll.operators import order_items, orders, products, staging, transacti
 AS_OF = date(2024, 7, 1)
 
 
-def build(spark, orders_, items=(), payments=(), hot=()):
+def build(spark, orders_, items=(), payments=(), hot=None):
     return orders.orders(
         staging.orders(raw(spark, "raw_orders", *orders_)),
         staging.order_items(raw(spark, "raw_order_items", *items)),
@@ -31,7 +31,7 @@ def payment(order, kind="payment", status="approved", amount=10.0, **more):
     return {"source_order_id": order, "transaction_type": kind, "transaction_status": status, "amount": amount, **more}
 
 
-@pytest.mark.parametrize("hot", [(), (1, 3, None)])
+@pytest.mark.parametrize("hot", [{}, {1: 0.5, 3: 0.01, None: 0.2}])
 def test_orders_with_and_without_lines_and_payments(spark, hot):
     got = by_id(
         build(
@@ -90,7 +90,7 @@ def test_an_approved_refund_also_reads_as_paid(spark):
     assert (row.payment_status, row.has_refunds, row.total_payments) == ("Paid", True, D("0.00"))
 
 
-@pytest.mark.parametrize("hot", [(), (1,)])
+@pytest.mark.parametrize("hot", [{}, {1: 0.5}])
 def test_a_repeated_order_keeps_every_row(spark, hot):
     df = build(spark, [{"source_order_id": 1}] * 5 + [{"source_order_id": 2}], [item(1), item(1)], [payment(1)], hot)
     assert sorted((r.source_order_id, r.item_count) for r in df.collect()) == [(1, 2)] * 5 + [(2, 0)]
@@ -112,7 +112,7 @@ def test_order_times(spark):
     assert (unknown.day_of_week, unknown.weekday_weekend) == (None, "Weekday")
 
 
-def lines(spark, items, products_, orders_, hot_products=(), hot_orders=()):
+def lines(spark, items, products_, orders_, hot_products=None, hot_orders=None):
     return order_items.order_items(
         staging.order_items(raw(spark, "raw_order_items", *items)),
         products.products(staging.products(raw(spark, "raw_products", *products_))),
@@ -122,7 +122,7 @@ def lines(spark, items, products_, orders_, hot_products=(), hot_orders=()):
     )
 
 
-@pytest.mark.parametrize("hot", [((), ()), ((7, None), (1, 2))])
+@pytest.mark.parametrize("hot", [({}, {}), ({7: 0.5, None: 0.1}, {1: 0.2, 2: 0.2})])
 def test_order_lines(spark, hot):
     got = by_id(
         lines(
@@ -154,14 +154,14 @@ def test_order_lines(spark, hot):
     assert (d.price_tier, d.exceeds_minimum_order, d.item_revenue) == ("Luxury", False, D("10.00"))
 
 
-@pytest.mark.parametrize("hot", [(), (7,)])
+@pytest.mark.parametrize("hot", [{}, {7: 0.5}])
 def test_a_repeated_product_repeats_its_lines(spark, hot):
     rows = [{"source_product_id": 7, "price": p} for p in (1.0, 2.0)]
     df = lines(spark, [{"source_product_id": 7, "source_order_id": 1}], rows, [{"source_order_id": 1}], hot)
     assert sorted(r.current_product_price for r in df.collect()) == [D("1.00"), D("2.00")]
 
 
-@pytest.mark.parametrize("hot", [(), (1, None)])
+@pytest.mark.parametrize("hot", [{}, {1: 0.5, None: 0.1}])
 def test_transactions(spark, hot):
     start = datetime(2024, 6, 15, 12, 0, 30)
     lags = [

@@ -104,8 +104,8 @@ def test_bucketed_refresh_builds_orders_without_a_shuffle(spark):
 
 def test_a_hot_order_keeps_its_table_unbucketed(spark):
     def find_hot(df, *keys):
-        hot = (1,) if "source_order_item_id" in df.columns else ()
-        return tuple(hot if key == "source_order_id" else () for key in keys)
+        hot = {1: 0.5} if "source_order_item_id" in df.columns else {}
+        return tuple(hot if key == "source_order_id" else {} for key in keys)
 
     refresh(spark, lambda name: clean(spark, name), date(2024, 7, 1), 4, find_hot).collect()
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import MONEY, ladder, money
 from tillroll.functions.dates import elapsed_days, iso_text, moment
-from tillroll.operators.joins import join
+from tillroll.operators.joins import Hot, join
 from tillroll.rules import CUSTOMER_SEGMENT, FREE_SHIPPING_ABOVE, ORDER_CODE_FORMAT, SHIPPING_FEE, TAX_RATE
 
 MAX_PACKED_LINES = 1000
@@ -62,7 +61,7 @@ def active_customers(customers: DataFrame) -> DataFrame:
     return customers.filter("is_active").select("customer_id")
 
 
-def priced_lines(lines: DataFrame, products: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def priced_lines(lines: DataFrame, products: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Lines with the name and price of their product; lines of unknown products drop out.
 
     The measured size of the catalogue decides between broadcast and sort-merge; ``hot``
@@ -93,7 +92,7 @@ def price_orders(priced: DataFrame) -> DataFrame:
     )
 
 
-def pack_lines(priced: DataFrame, max_lines: int = MAX_PACKED_LINES, hot: Sequence[object] = ()) -> DataFrame:
+def pack_lines(priced: DataFrame, max_lines: int = MAX_PACKED_LINES, hot: Hot | None = None) -> DataFrame:
     """Lines of each order as JSON text: (order_id, part, parts, items_detail).
 
     An order of at most ``max_lines`` lines is one row with part 0.  A larger one is cut
@@ -124,17 +123,19 @@ def pack_lines(priced: DataFrame, max_lines: int = MAX_PACKED_LINES, hot: Sequen
     )
 
 
-def assemble_transactions(headers: DataFrame, priced: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def assemble_transactions(
+    headers: DataFrame, priced: DataFrame, hot_lines: Hot | None = None, hot_headers: Hot | None = None
+) -> DataFrame:
     """Order headers with their priced totals and packed lines, as loaded to the source layer.
 
     An order without lines is not an order here.  ``items_detail`` holds part 0 of
     ``items_parts``; ``pack_lines`` has all parts.
     """
-    first = pack_lines(priced, hot=hot).filter("part = 0").select(
+    first = pack_lines(priced, hot=hot_lines).filter("part = 0").select(
         "order_id", F.col("parts").alias("items_parts"), "items_detail"
     )
-    totals = price_orders(priced)
-    return headers.join(totals, "order_id").join(first, "order_id", "left").select(
+    ordered = join(headers, [price_orders(priced)], "order_id", hot_headers, ["customer_id"], "inner")
+    return join(ordered, [first], "order_id", hot_headers, ["customer_id"]).select(
         F.col("order_id").alias("transaction_id"),
         F.format_string(ORDER_CODE_FORMAT, "order_id").alias("order_id"),
         "customer_id",

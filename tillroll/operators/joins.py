@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001
 HOT_ROWS = 5_000_000
-SPREAD = 256
 _TRACKED = 8192
 _SALT = "_salt"
 
+# Hot values of a key (None for NULL) with their share of the rows.
+Hot = Mapping[object, float]
+
 
 def hot_keys(
     df: DataFrame, *keys: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> tuple[tuple[object, ...], ...]:
-    """For each of ``keys``, the values that hold at least ``share`` of the rows, NULL (None) included.
+) -> tuple[dict[object, float], ...]:
+    """For each of ``keys``, the values that hold at least ``share`` of the rows, and their shares.
 
     One pass over the key columns.  Each task keeps a fixed-size frequent-item sketch,
     groups of tasks merge theirs, and the last step merges those, so nothing that grows
@@ -25,67 +30,68 @@ def hot_keys(
     The result only steers the physical plan; a missed or surplus value changes no row.
     A table of fewer than ``min_rows`` rows is only counted.
     """
-    if df.select(*keys).count() < min_rows:
-        return tuple(() for _ in keys)
-    most = max(1, int(1 / share))
+    rows = df.select(*keys).count()
+    if rows < min_rows:
+        return tuple({} for _ in keys)
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(1024)).alias("task_group")).agg(
-        F.count("*").alias("rows"),
-        *[F.expr(f"approx_top_k_accumulate(`{k}`, {_TRACKED})").alias(f"sketch_{i}") for i, k in enumerate(keys)],
+        *[F.expr(f"approx_top_k_accumulate(`{k}`, {_TRACKED}) as sketch_{i}") for i, k in enumerate(keys)]
     )
     whole = sketches.agg(
-        F.sum("rows").alias("rows"),
-        *[F.expr(f"approx_top_k_combine(sketch_{i}, {_TRACKED})").alias(f"sketch_{i}") for i in range(len(keys))],
+        *[F.expr(f"approx_top_k_combine(sketch_{i}, {_TRACKED}) as sketch_{i}") for i in range(len(keys))]
     )
-    found = whole.select(
-        "rows", *[F.expr(f"approx_top_k_estimate(sketch_{i}, {most})").alias(f"top_{i}") for i in range(len(keys))]
-    ).first()
-    least = max(min_rows, found["rows"] * share)
-    return tuple(tuple(top["item"] for top in found[f"top_{i}"] if top["count"] >= least) for i in range(len(keys)))
-
+    most = max(1, int(1 / share))
+    found = whole.select(*[F.expr(f"approx_top_k_estimate(sketch_{i}, {most})") for i in range(len(keys))]).first()
+    least = max(min_rows, rows * share)
+    return tuple({top["item"]: top["count"] / rows for top in tops if top["count"] >= least} for tops in found)
 
-def _spread(
-    left: DataFrame, rights: Sequence[DataFrame], key: str, hot: Sequence[object], by: Sequence[str], ways: int
-) -> tuple[DataFrame, list[DataFrame]]:
-    """Both sides with a sub-key: hot left rows take one of ``ways``, hot right rows take all."""
-    named = [value for value in hot if value is not None]
 
-    def is_hot() -> Column:
-        return F.col(key).isin(named) if named else F.lit(False)
+def _ways(key: str, hot: Hot, partitions: int) -> Column:
+    """Number of sub-keys of each row's key: 1, or in proportion to the share of a hot value.
 
-    spreads = is_hot() | F.col(key).isNull() if None in hot else is_hot()
-    bucket = F.pmod(F.xxhash64(F.spark_partition_id(), *by), F.lit(ways)).cast("int")
-    every = F.when(is_hot(), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
-    return (
-        left.withColumn(_SALT, F.when(spreads, bucket).otherwise(0)),
-        [right.withColumn(_SALT, F.explode(every)) for right in rights],
-    )
+    A value gets four times its share of the shuffle partitions, as a power of two.  All
+    hot values together get at most about eight times the partitions, so repeating one
+    row per sub-key stays small.
+    """
+    groups = defaultdict(list)
+    for value, share in hot.items():
+        groups[2 ** max(1, ceil(log2(max(1.0, 4 * share * partitions))))].append(value)
+    ways = F.lit(1)
+    for count, values in groups.items():
+        named = [v for v in values if v is not None]
+        tests = ([F.col(key).isin(named)] if named else []) + ([F.col(key).isNull()] if None in values else [])
+        ways = F.when(reduce(Column.__or__, tests), F.lit(count)).otherwise(ways)
+    return ways
 
 
 def join(
     left: DataFrame,
     rights: Sequence[DataFrame],
     key: str,
-    hot: Sequence[object] = (),
+    hot: Hot | None = None,
     spread_by: Sequence[str] = (),
     how: str = "left",
-    spread: int = SPREAD,
 ) -> DataFrame:
     """``left`` joined (left or inner) with each of ``rights`` on ``key``.
 
     No side is broadcast by hint: Spark broadcasts a side its own statistics show to be
     under the threshold, and otherwise sort-merges with a single shuffle per input.
 
-    With ``hot`` keys, their left rows go to ``spread`` sub-keys and the right rows of
-    those keys (as many as ``hot`` has values, where the right side is unique) are repeated
-    once per sub-key, so no task holds one key whole.  None spreads the NULL-key rows,
-    which match nothing.  The sub-key depends on the task and on the ``spread_by``
-    columns, so copies of one row also spread, and a retried task repeats its choice.
+    The left rows of ``hot`` keys go to several sub-keys each, and the right rows of those
+    keys are repeated once per sub-key, so no task holds one key whole.  NULL-key rows
+    spread as well and match nothing.  The sub-key depends on the task and on the
+    ``spread_by`` columns, so copies of one row also spread, and a retried task repeats
+    its choice.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"cannot spread a {how} join")
     keys = [key]
     if hot:
-        left, rights = _spread(left, rights, key, hot, spread_by, spread)
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ways = _ways(key, hot, partitions)
+        matching = _ways(key, {value: share for value, share in hot.items() if value is not None}, partitions)
+        bucket = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), ways).cast("int")
+        left = left.withColumn(_SALT, bucket)
+        rights = [r.withColumn(_SALT, F.explode(F.sequence(F.lit(0), matching - 1))) for r in rights]
         keys.append(_SALT)
     joined = left
     for right in rights:

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import NO_MONEY, flag, ladder, percent, quotient
 from tillroll.functions.dates import month_start, week_start
-from tillroll.operators.joins import join
+from tillroll.operators.joins import Hot, join
 from tillroll.rules import PRICE_TIER, QUANTITY_CATEGORY
 
 PRODUCT_KEY = "source_product_id"
 ORDER_KEY = "source_order_id"
 
 
-def with_products(items: DataFrame, products: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def with_products(items: DataFrame, products: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Every line beside its product; a product listed twice repeats the line."""
     facts = products.select(
         PRODUCT_KEY,
@@ -29,7 +28,7 @@ def with_products(items: DataFrame, products: DataFrame, hot: Sequence[object] =
     return join(items, [facts], PRODUCT_KEY, hot, ["source_order_item_id"])
 
 
-def with_orders(items: DataFrame, orders: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def with_orders(items: DataFrame, orders: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Every line beside its order.  The columns taken need none of the order aggregates."""
     facts = orders.select(
         ORDER_KEY,
@@ -46,8 +45,8 @@ def order_items(
     staged_items: DataFrame,
     products: DataFrame,
     orders: DataFrame,
-    hot_products: Sequence[object] = (),
-    hot_orders: Sequence[object] = (),
+    hot_products: Hot | None = None,
+    hot_orders: Hot | None = None,
 ) -> DataFrame:
     joined = with_orders(with_products(staged_items.drop("id"), products, hot_products), orders, hot_orders)
     unit, quantity, total = F.col("unit_price"), F.col("quantity"), F.col("total_price")

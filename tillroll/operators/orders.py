@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -18,7 +17,7 @@ from tillroll.operators.aggregates import (
     item_totals,
     transaction_totals,
 )
-from tillroll.operators.joins import join
+from tillroll.operators.joins import Hot, join
 from tillroll.rules import (
     AMOUNT_SIZE,
     DISCREPANCY_TOLERANCE,
@@ -38,12 +37,12 @@ from tillroll.rules import (
 KEY = "source_order_id"
 
 
-def with_items(staged_orders: DataFrame, staged_items: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def with_items(staged_orders: DataFrame, staged_items: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Every order beside the totals of its items, NULL where it has none."""
     return join(staged_orders, [item_totals(staged_items)], KEY, hot, ["source_customer_id", "order_date"])
 
 
-def with_transactions(orders: DataFrame, staged_transactions: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def with_transactions(orders: DataFrame, staged_transactions: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Every order beside the totals of its payments, NULL where it has none."""
     return join(
         orders, [transaction_totals(staged_transactions)], KEY, hot, ["source_customer_id", "order_date"]
@@ -55,7 +54,7 @@ def orders(
     staged_items: DataFrame,
     staged_transactions: DataFrame,
     as_of: date,
-    hot: Sequence[object] = (),
+    hot: Hot | None = None,
 ) -> DataFrame:
     """One row per staged order.
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import first_match, flag, grouped, ladder
 from tillroll.functions.dates import boundary_diff, day_of_week, month_start, week_start
-from tillroll.operators.joins import join
+from tillroll.operators.joins import Hot, join
 from tillroll.rules import (
     AMOUNT_SIZE,
     APPROVED,
@@ -24,7 +23,7 @@ from tillroll.rules import (
 KEY = "source_order_id"
 
 
-def with_orders(transactions: DataFrame, orders: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def with_orders(transactions: DataFrame, orders: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Every transaction beside its order, NULL where the order is unknown."""
     facts = orders.select(
         KEY,
@@ -36,7 +35,7 @@ def with_orders(transactions: DataFrame, orders: DataFrame, hot: Sequence[object
     return join(transactions, [facts], KEY, hot, ["source_transaction_id"])
 
 
-def transactions(staged: DataFrame, orders: DataFrame, hot: Sequence[object] = ()) -> DataFrame:
+def transactions(staged: DataFrame, orders: DataFrame, hot: Hot | None = None) -> DataFrame:
     joined = with_orders(staged.drop("id"), orders, hot)
     status, kind, amount = F.col("transaction_status"), F.col("transaction_type"), F.col("transaction_amount")
     when = F.col("transaction_date")

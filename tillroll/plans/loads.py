@@ -69,5 +69,5 @@ def load_transactions(
     """Orders priced from their lines; hot products and orders are spread over tasks."""
     hot_products, hot_orders = hot_keys(lines, "product_id", "order_id")
     priced = priced_lines(lines, products, hot_products)
-    orders = assemble_transactions(headers, priced, hot_orders)
+    orders = assemble_transactions(headers, priced, hot_orders, *hot_keys(headers, "order_id"))
     return load_batch(orders, table, at, source, snapshot_base, revenue="total_amount")

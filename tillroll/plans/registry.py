@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import batch, ingest, order_items, orders, profiles, quality, transactions
 from tillroll.operators.aggregates import item_totals, transaction_totals
-from tillroll.operators.joins import hot_keys
+from tillroll.operators.joins import Hot, hot_keys, join
 from tillroll.plans import loads
 from tillroll.plans.retail import STAGED, TRANSFORMED, Retail
 from tillroll.rules import NOT_NULL, UNIQUE
@@ -135,7 +135,7 @@ def _raw(name: str) -> Query:
 # --- ingestion ---------------------------------------------------------------
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
+def _lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Hot]:
     """Priced lines and the hot orders among them."""
     lines = derived.order_lines(spark, sf_dir)
     hot_products, hot_orders = hot_keys(lines, "product_id", "order_id")
@@ -148,15 +148,16 @@ def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _source_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced, hot_orders = _lines(spark, sf_dir)
-    return ingest.assemble_transactions(derived.order_headers(spark, sf_dir), priced, hot_orders)
+    headers = derived.order_headers(spark, sf_dir)
+    return ingest.assemble_transactions(headers, priced, hot_orders, *hot_keys(headers, "order_id"))
 
 
 def _transaction_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order totals without the packed lines, for the profiles."""
     headers = derived.order_headers(spark, sf_dir)
-    return headers.join(ingest.price_orders(_priced(spark, sf_dir)), "order_id").withColumnRenamed(
-        "ordered_at", "order_date"
-    )
+    totals = ingest.price_orders(_priced(spark, sf_dir))
+    priced = join(headers, [totals], "order_id", *hot_keys(headers, "order_id"), ["customer_id"], "inner")
+    return priced.withColumnRenamed("ordered_at", "order_date")
 
 
 def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:

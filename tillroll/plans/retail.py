@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import customers, order_items, orders, products, quality, transactions
-from tillroll.operators.joins import hot_keys
+from tillroll.operators.joins import Hot, hot_keys
 from tillroll.operators.staging import STAGES
 from tillroll.sources.tables import materialize
 
@@ -38,7 +38,7 @@ class Retail:
         self,
         raw: Callable[[str], DataFrame],
         as_of: date,
-        find_hot: Callable[..., tuple] = hot_keys,
+        find_hot: Callable[..., tuple[Hot, ...]] = hot_keys,
         keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
     ) -> None:
         self._raw, self._as_of, self._find_hot, self._keep = raw, as_of, find_hot, keep
@@ -50,16 +50,16 @@ class Retail:
         return self._models[name]
 
     @cached_property
-    def hot_orders(self) -> tuple:
+    def hot_orders(self) -> Hot:
         return self._find_hot(self["stg_orders"], ORDER_KEY)[0]
 
     @cached_property
-    def hot_in_items(self) -> tuple[tuple, tuple]:
+    def hot_in_items(self) -> tuple[Hot, Hot]:
         """Hot products and hot orders among the order lines."""
         return self._find_hot(self["stg_order_items"], PRODUCT_KEY, ORDER_KEY)
 
     @cached_property
-    def hot_in_transactions(self) -> tuple:
+    def hot_in_transactions(self) -> Hot:
         return self._find_hot(self["stg_transactions"], ORDER_KEY)[0]
 
     def _build(self, name: str) -> DataFrame:
@@ -104,7 +104,7 @@ def refresh(
     raw: Callable[[str], DataFrame],
     as_of: date | None = None,
     buckets: int = 0,
-    find_hot: Callable[..., tuple] = hot_keys,
+    find_hot: Callable[..., tuple[Hot, ...]] = hot_keys,
 ) -> DataFrame:
     """Write the ten models as tables and return the results of their column checks.
 
