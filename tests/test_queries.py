@@ -6,9 +6,11 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from oracle.statements import statements
+from tillroll.plans.registry import all_queries
 
 SF = os.environ.get("TILLROLL_TEST_SF", "/root/testdata/sf0.001")
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+QUERIES, STATEMENTS = all_queries(), statements()
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +27,10 @@ def test_query(spark, con, name):
     assert differences(QUERIES[name](spark, SF), con, STATEMENTS[name]) == []
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(STATEMENTS) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 1500
