@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, quality, syncmers, token_counts, token_files
+from tillroll.llm import bpe, language, neardup, quality, syncmers, token_counts, token_files, toxicity
 from tillroll.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), _path("word_bpe_49k.json"), limit=2048)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages_of(documents(spark, sf_dir))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir), k=3, threshold=85)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_of(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf_dir))
 
@@ -49,6 +61,9 @@ def all_queries() -> dict[str, Query]:
             op2_byte_bpe,
             op4_token_files,
             op5_token_counts,
+            op6_language,
+            op8_near_duplicates,
+            op9_toxicity,
             op10_fingerprints,
         )
     }
