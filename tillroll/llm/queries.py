@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, language, neardup, quality, syncmers, token_counts, token_files, toxicity
+from tillroll.llm import bpe, language, neardup, packing, quality, secrets, syncmers, token_counts, token_files, toxicity
 from tillroll.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), _path("byte_bpe_50k.json"), end=0)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(documents(spark, sf_dir), _path("word_bpe_49k.json"), end=2))
 
@@ -41,6 +45,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages_of(documents(spark, sf_dir))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secrets.scan(docs, secrets.train(docs))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), k=3, threshold=85)
 
@@ -59,9 +68,11 @@ def all_queries() -> dict[str, Query]:
         for f in (
             op1_quality_rules,
             op2_byte_bpe,
+            op3_packing,
             op4_token_files,
             op5_token_counts,
             op6_language,
+            op7_secret_scan,
             op8_near_duplicates,
             op9_toxicity,
             op10_fingerprints,
