@@ -162,5 +162,6 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` whose text passes the base and the rules, with all their columns."""
-    kept = judged(docs, docs.columns, rules).filter("kept")
-    return kept.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    # A generator, not a filter: the optimizer would move a filter below the projections and evaluate them inside it.
+    kept = judged(docs, docs.columns, rules).select(F.inline(F.when(F.col("kept"), F.array("row"))))
+    return kept.toDF(*docs.columns)
