@@ -22,7 +22,7 @@ import regex
 #: normalization and whose lower case is one code point.
 SAFE = "\t\n\r -~¡-¬®-Įı-ɏЀ-џぁ-ゖァ-ヺ一-龥가-힣"
 #: Words cached before the cache starts anew.
-CACHE = 600_000
+CACHE = 150_000
 
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 _BYTES_ONLY = _BYTE_LEVEL | {"use_regex": False}

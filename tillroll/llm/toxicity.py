@@ -32,7 +32,7 @@ WINDOW, STEP = 8, 4
 #: Windows of a text without the label that each round learns from: those it finds most toxic.
 HARD_WINDOWS = 3
 #: Tokens whose value a worker keeps.
-CACHE = 400_000
+CACHE = 150_000
 
 _WARM_UP, _ROUNDS = 3, 22
 _RATE = 0.5
