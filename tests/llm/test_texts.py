@@ -52,8 +52,8 @@ def test_quality_counts(spark):
         (" | ".join(prose(2, 200).split()), "symbol_ratio"),
         (prose(3, 200).upper(), "shouted_ratio"),
         (" ".join(f"word{i}" for i in range(100)), "stop_word_ratio"),
-        ("\n".join(f"- {prose(i, 9)}" for i in range(20)), "bullet_line_ratio"),
-        ("\n".join(f"{prose(i, 9)} ..." for i in range(20)), "ellipsis_line_ratio"),
+        ("\n".join("- " + " ".join(prose(i, 9).split()) for i in range(20)), "bullet_line_ratio"),
+        ("\n".join(" ".join(prose(i, 9).split()) + " ..." for i in range(20)), "ellipsis_line_ratio"),
         (" ".join("abcdefghijklmnopqrstuvwxyz" + str(i) for i in range(95)) + " the of and to", "mean_word_length"),
     ],
 )

@@ -42,6 +42,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def settled(df: DataFrame, kept: list[str], columns: dict[str, Column]) -> DataFrame:
+    """The columns ``kept`` and new ones, evaluated once per row whatever is asked of them later.
+
+    The optimizer moves filters below plain projections and evaluates their expressions there once more, inside each
+    other where they build on each other.  It does not move them below a generator, which this is.
+    """
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def crc32_of(key: str) -> Column:
     """CRC-32 of an id written as decimal text."""
     return F.crc32(F.col(key).cast("string"))

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import settled
+
 #: Inside a character class: what separates words.
 SPACE = r" \t-\r"
 SYMBOLS = "#*$%&|<>"
@@ -107,22 +109,23 @@ def measures(docs: DataFrame, carried: Sequence[str], text: str = "text", stop_w
         ),
     ).drop("ordered")
     n_words, n_lines = F.size("words").cast("long"), F.size("lines").cast("long")
-    counted = repeated.select(
-        "row",
-        n_words.alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        _only("text", SYMBOLS).alias("n_symbols"),
-        n_lines.alias("n_lines"),
-        (n_lines - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-        # A window covers three words, or those up to the next window.
-        F.expr(
-            "aggregate(transform(places, (p, j) -> least(3, coalesce(get(places, j + 1) - p, 3))), 0L, (n, c) -> n + c)"
-        ).alias("n_repeat_words"),
-        _only("text", r"\p{Lu}").alias("n_upper"),
-        F.size(F.filter("words", lambda word: F.lower(word).isin(stops))).cast("long").alias("n_stops"),
-        _lines_with(rf"^[{SPACE}]*[-*•‣·]").alias("n_bullets"),
-        _lines_with(rf"(\.\.\.|…)[{SPACE}]*$").alias("n_ellipses"),
+    # A window covers three words, or those up to the next window.
+    covered = F.expr(
+        "aggregate(transform(places, (p, j) -> least(3, coalesce(get(places, j + 1) - p, 3))), 0L, (n, c) -> n + c)"
     )
+    counts = {
+        "n_words": n_words,
+        "word_chars": F.length(F.array_join("words", "")).cast("long"),
+        "n_symbols": _only("text", SYMBOLS),
+        "n_lines": n_lines,
+        "n_dup_lines": n_lines - F.size(F.array_distinct("lines")),
+        "n_repeat_words": covered,
+        "n_upper": _only("text", r"\p{Lu}"),
+        "n_stops": F.size(F.filter("words", lambda word: F.lower(word).isin(stops))).cast("long"),
+        "n_bullets": _lines_with(rf"^[{SPACE}]*[-*•‣·]"),
+        "n_ellipses": _lines_with(rf"(\.\.\.|…)[{SPACE}]*$"),
+    }
+    counted = settled(repeated, ["row"], counts)
 
     def ratio(part: str, whole: str) -> Column:
         return F.coalesce(F.col(part) / F.nullif(F.col(whole), F.lit(0)), F.lit(0.0))
@@ -162,6 +165,5 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` whose text passes the base and the rules, with all their columns."""
-    # A generator, not a filter: the optimizer would move a filter below the projections and evaluate them inside it.
-    kept = judged(docs, docs.columns, rules).select(F.inline(F.when(F.col("kept"), F.array("row"))))
-    return kept.toDF(*docs.columns)
+    kept = judged(docs, docs.columns, rules).filter("kept")
+    return kept.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import saved
+from tillroll.llm.common import saved, settled
 
 SYMBOL = r"[^ \t-\r]{1,16}"
 #: Symbols of a window (k), of which each part has two (s).
@@ -47,11 +47,8 @@ def anchors(df: DataFrame, text: str, to: str) -> DataFrame:
     whole = F.when(F.length(text) == 0, F.array().cast("array<bigint>")).otherwise(
         F.array(F.when(F.size("_symbols") > 0, F.xxhash64("_symbols")).otherwise(F.xxhash64(text)))
     )
-    return (
-        hashed.withColumn("_found", found)
-        .withColumn(to, F.when(F.size("_found") > 0, F.col("_found")).otherwise(whole))
-        .drop("_symbols", "_parts", "_found")
-    )
+    found = hashed.withColumn("_found", found)
+    return settled(found, df.columns, {to: F.when(F.size("_found") > 0, F.col("_found")).otherwise(whole)})
 
 
 def likeness(a: Column, b: Column) -> Column:
