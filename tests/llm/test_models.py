@@ -92,11 +92,11 @@ def test_toxicity_of_held_out_documents(spark):
 
 
 def test_toxicity_generalizes_to_misspellings():
-    texts = [prose(i, 60) + (" what a gobbledork you are" if i % 2 else " what a lovely day") for i in range(200)]
-    scorer = toxicity.Scorer(toxicity.fit(texts, np.arange(200) % 2))
-    clean, rude = scorer(prose(999, 60)), scorer(prose(999, 30) + " gobbledorkk " + prose(998, 30))
-    assert rude > 0.5 > clean
-    assert 0 <= scorer("") <= 1
+    texts = [f"{prose(i, 10 + i % 50)} {'gobbledork' if i % 2 else ''} {prose(-i, 40)}" for i in range(300)]
+    scorer = toxicity.Scorer(toxicity.fit(texts, np.arange(300) % 2))
+    for seed in range(900, 920):
+        assert scorer(f"{prose(seed, 30)} gobbledorkk {prose(seed, 30)}") > 0.5 > scorer(prose(seed, 60))
+    assert scorer("") == scorer(" .. ") == 0
 
 
 def test_toxicity_of_awkward_rows(spark):

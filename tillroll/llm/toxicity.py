@@ -34,8 +34,9 @@ HARD_WINDOWS = 3
 #: Tokens whose value a worker keeps.
 CACHE = 150_000
 
-_WARM_UP, _ROUNDS = 3, 22
+_WARM_UP, _ROUNDS = 3, 40
 _RATE = 0.5
+_DAMPING = 0.2
 
 
 def subwords(word: str) -> list[int]:
@@ -122,10 +123,12 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     """
     bags = _Bags(texts)
     rng = np.random.default_rng(0)
-    vectors = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS)) / DIMENSIONS * bags.shared
-    softmax = rng.uniform(-0.5, 0.5, (DIMENSIONS, 2))
+    vectors = rng.uniform(-0.01, 0.01, (BUCKETS, DIMENSIONS)) * bags.shared
+    # The two labels begin on opposite sides, so that the first steps of the vectors already tell them apart.
+    softmax = np.stack([np.full(DIMENSIONS, -0.5), np.full(DIMENSIONS, 0.5)], axis=1)
+    softmax += rng.uniform(-0.1, 0.1, softmax.shape)
     bias = np.zeros(2)
-    slopes = [np.full(x.shape, 1e-8) for x in (vectors, softmax, bias)]
+    slopes: list[np.ndarray] = []
     by_doc = labels[bags.docs]
     most = np.array([max(1, (labels == label).sum()) for label in (0, 1)])
     for turn in range(_WARM_UP + _ROUNDS):
@@ -150,6 +153,9 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
         error *= weights[:, None]
         pulls = (error @ softmax.T) / counts[chosen][:, None]
         steps = [bags.spread(chosen, pulls) * bags.shared, averages[chosen].T @ error, error.sum(axis=0)]
+        if not slopes:
+            # What is pulled least by the first round, and so is mostly chance, moves least.
+            slopes = [np.full(x.shape, (_DAMPING * np.abs(x).max()) ** 2 + 1e-12) for x in steps]
         for value, slope, step in zip((vectors, softmax, bias), slopes, steps):
             slope += step * step
             value -= _RATE * step / np.sqrt(slope)
@@ -211,6 +217,8 @@ class Scorer:
             if value is None:
                 value = self.known[token] = self._value(token)
             values += value
+        if not values:
+            return 0.0
         sums = np.concatenate([[0], np.cumsum(np.array(values, dtype=np.complex128))])
         begins = np.array(window_starts(len(values)))
         windows = sums[np.minimum(begins + WINDOW, len(values))] - sums[begins]
@@ -221,8 +229,7 @@ class Scorer:
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score) of every whole text, 0 to 1.
 
-    A null or empty text, or one without words, has the score of no evidence; without a model all have 0.  Repeated
-    rows are repeated.
+    A null or empty text, or one without words, has score 0, as all have without a model.  Repeated rows are repeated.
     """
     schema = pa.schema({"doc_id": pa.int64(), "score": pa.float64()})
 
