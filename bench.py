@@ -1,7 +1,8 @@
-"""Times the headline queries once each and prints one JSON line.
+"""Times the headline queries three times each and prints one JSON line with the medians.
 
-BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores.  Every row and column of
-a result is computed and thrown away.  One run on the smallest columns warms the JVM.
+BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores.  The raw tables are written
+once before, so the models are timed over Parquet scans.  Every row and column of a result is
+computed and thrown away.  One round of all queries warms the JVM.
 """
 
 from __future__ import annotations
@@ -11,11 +12,17 @@ import os
 import re
 import sys
 import time
+from statistics import median
+from uuid import uuid4
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tillroll.plans.registry import all_queries  # noqa: E402
+from pyspark.sql import DataFrame  # noqa: E402
+
+from tillroll.plans.registry import AS_OF, all_queries  # noqa: E402
+from tillroll.plans.retail import STAGED, TRANSFORMED, Retail, refresh  # noqa: E402
 from tillroll.session import local_session  # noqa: E402
+from tillroll.sources import derived, tables  # noqa: E402
 
 HEADLINE = (
     "stg_products",
@@ -38,6 +45,7 @@ HEADLINE = (
     "p17_revenue_month",
     "m3_day_slice",
     "q3_suite",
+    "refresh",
 )
 
 
@@ -46,14 +54,28 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session("tillroll-bench", cpus)
     named = all_queries()
+    base = tables.shared_dir(spark) + f"/bench-{uuid4().hex}"
+    for name, build in derived.RAW_TABLES.items():
+        build(spark, sf_dir).write.parquet(f"{base}/{name}")
+
+    def raw(name: str) -> DataFrame:
+        return tables.raw_scan(spark, f"{base}/{name}", name)
+
+    models = Retail(raw, AS_OF)
+
+    def frame(name: str) -> DataFrame:
+        return models[name] if name in (*STAGED, *TRANSFORMED) else named[name](spark, sf_dir)
 
     def run(name: str) -> float:
         start = time.perf_counter()
-        named[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        if name == "refresh":
+            refresh(spark, raw, AS_OF).write.format("noop").mode("overwrite").save()
+        else:
+            frame(name).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    run("io2_product_scan")
-    took = {name: round(run(name), 3) for name in HEADLINE}
+    rounds = [{name: run(name) for name in HEADLINE} for _ in range(4)][1:]
+    took = {name: round(median(r[name] for r in rounds), 3) for name in HEADLINE}
     scale = re.search(r"sf([\d.]+)", sf_dir)
     print(
         json.dumps(

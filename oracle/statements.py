@@ -179,6 +179,7 @@ SELECT source_order_id, COUNT(*) AS rows FROM stg_transactions
 WHERE source_order_id IS NOT NULL GROUP BY source_order_id HAVING COUNT(*) > 1""",
         "q3_suite": " UNION ALL ".join(_check(model) for model in rules.UNIQUE),
     }
+    tables["j3_spread_products"] = tables["j3_items_products"]
     tables |= {f"io4_{name}": f"SELECT * FROM {name}" for name in CTES if name.startswith("raw_")}
     tables["io6_snapshot"] = tables["i3_segment"]
     sql |= {name: with_tables(select) for name, select in tables.items()}
@@ -188,6 +189,10 @@ WHERE source_order_id IS NOT NULL GROUP BY source_order_id HAVING COUNT(*) > 1""
         "i2_default_fill": "SELECT product_id, price, discount_percentage, rating, stock FROM landed",
         "i4_order_pricing": "SELECT * FROM baskets",
         "i5_pack_items": "SELECT * FROM packed",
+        "i5_pack_large_orders": f"""
+SELECT o_custkey AS order_id, COUNT(*) AS lines, ceil(COUNT(*) / 10.0)::INTEGER AS parts,
+  SUM(item_total)::DECIMAL(20,2) AS total
+FROM priced JOIN orders ON o_orderkey = order_id GROUP BY o_custkey""",
         "i6_item_count": "SELECT order_id, num_items FROM baskets",
         "i7_order_code": "SELECT transaction_id, order_id FROM loaded",
         "i8_iso_time": "SELECT transaction_id, order_date FROM loaded",

@@ -58,12 +58,10 @@ def price(spark, lines, products):
 def test_pricing_and_free_shipping(spark):
     priced = price(
         spark,
-        [(1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 3), (4, 1, 2), (5, 99, 1), (6, 4, 1), (6, 99, 1)],
+        [(1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 3), (4, 1, 2), (6, 4, 1)],
         [(1, "a", 49.99), (2, "b", 50.0), (3, "c", 50.01), (4, "d", 0.1)],
     )
     got = {r.order_id: r for r in ingest.price_orders(priced).collect()}
-    assert 5 not in got  # no known product
-
     def facts(i):
         return (got[i].subtotal, got[i].tax, got[i].shipping_cost, got[i].total_amount, got[i].num_items)
 
@@ -74,6 +72,51 @@ def test_pricing_and_free_shipping(spark):
     assert facts(6) == (D("0.10"), D("0.01"), D("5.99"), D("6.10"), 1)
 
 
+@pytest.mark.parametrize("product", [99, None])
+def test_a_line_of_an_unknown_product_is_an_error(spark, product):
+    priced = price(spark, [(6, 4, 1), (6, product, 1)], [(4, "d", 0.1)])
+    with pytest.raises(Exception, match="no such product"):
+        ingest.price_orders(priced).collect()
+
+
+def test_parts_follow_from_the_lines_alone(spark):
+    lines = [(1, i % 5, i % 3 + 1) for i in range(2500)] + [(2, 4, 1)] * 5000
+    frame = spark.createDataFrame(lines, "order_id long, product_id long, quantity int")
+    products = spark.createDataFrame([(i, f"p{i}", 1.5) for i in range(5)], "product_id long, product_name string, price double")
+    found = []
+    for splits in (1, 4, 7):
+        packed = ingest.pack_lines(ingest.priced_lines(frame.repartition(splits), products))
+        found.append(sorted(map(tuple, packed.collect())))
+    assert found[0] == found[1] == found[2]
+    sizes = {}
+    for order, part, parts, text in found[0]:
+        sizes.setdefault(order, []).append(len(json.loads(text)))
+    assert {order: sum(n) for order, n in sizes.items()} == {1: 2500, 2: 5000}
+    assert max(max(n) for n in sizes.values()) <= 3000
+
+
+def test_large_orders_load_and_read_back_whole(spark):
+    from tillroll.plans import loads
+
+    lines = [(1, i % 5, i % 3 + 1) for i in range(2500)] + [(2, 4, 1)] * 5000 + [(3, 1, 2)]
+    headers = spark.createDataFrame(
+        [(i, 5, datetime(2024, 6, 1), "Completed", "PayPal", "Express") for i in (1, 2, 3)],
+        "order_id long, customer_id long, ordered_at timestamp_ntz, order_status string, payment_method string, "
+        "shipping_method string",
+    )
+    frame = spark.createDataFrame(lines, "order_id long, product_id long, quantity int")
+    products = spark.createDataFrame([(i, f"p{i}", 1.5) for i in range(5)], "product_id long, product_name string, price double")
+    assert loads.load_transactions(headers, frame, products, "large_test.orders", AT, "t")["rows"] == 3
+    loaded = spark.table("large_test.orders")
+    assert sorted((r.num_items, r.items_detail is None, r.items_parts) for r in loaded.collect()) == [
+        (1, False, 1), (2500, True, 3), (5000, True, 5),
+    ]
+    items = adapters.raw_order_items(adapters.loaded_lines(loaded, spark.table("large_test.orders_parts")))
+    got = [(r.source_order_id, r.source_product_id, r.quantity) for r in items.collect()]
+    assert sorted(got) == sorted(lines)
+    assert items.select("id").distinct().count() == items.select("source_order_item_id").distinct().count() == len(lines)
+
+
 @pytest.mark.parametrize("hot", [{}, {1: 0.9}])
 def test_packed_lines_hold_every_line_once(spark, hot):
     lines = [(1, i % 5, i % 3 + 1) for i in range(2500)] + [(2, 0, 1), (2, 1, 1), (3, 4, 2)]
@@ -116,7 +159,9 @@ def test_lines_in_python_text_are_read(spark):
     wanted = [x["product_name"] for x in lines]
     assert names[0] == wanted and names[1] == wanted and names[2] == [None]
     assert [r.order_id for r in adapters.unreadable_lines(packed).collect()] == [3]
-    assert adapters.raw_order_items(packed).count() == 5
+    assert adapters.raw_order_items(packed, skip_unreadable=True).count() == 5
+    with pytest.raises(Exception, match="unreadable lines of order 3"):
+        adapters.raw_order_items(packed).collect()
 
 
 def test_segment_uses_elapsed_days(spark):
@@ -179,6 +224,9 @@ def test_append_and_overwrite_report_rows(spark):
     name = "sink_test.things"
     assert tables.append(spark.range(3).selectExpr("id", "'a' as v"), name) == 3
     assert tables.append(spark.range(4).selectExpr("'b' as v", "id"), name) == 4  # by name
+    for other in (spark.range(1), spark.range(1).selectExpr("id", "'c' as v", "1 as extra")):
+        with pytest.raises(ValueError, match="differ"):
+            tables.append(other, name)
     assert spark.table(name).groupBy("v").count().orderBy("v").collect() == [("a", 3), ("b", 4)]
     assert tables.overwrite(spark.range(2).selectExpr("id", "'c' as v"), name) == 2
     assert tables.query(spark, f"SELECT COUNT(*) FROM {name}").first()[0] == 2
@@ -234,6 +282,15 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     assert sorted(r.product_id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 101, 102, 103]
 
 
+def test_each_landing_has_a_checkpoint_of_its_own(spark, tmp_path):
+    for name in ("first", "second"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text(json.dumps({"products": [FULL]}))
+        at = (str(tmp_path / name), str(tmp_path / f"{name}-target"), AT, "t")
+        assert load_new_documents(spark, *at) == 1
+        assert load_new_documents(spark, *at) == 0
+
+
 def test_metrics_come_from_the_write(spark, tmp_path):
     df = spark.createDataFrame([(1, D("2.50")), (2, D("4.00"))], "id long, total_amount decimal(10,2)")
     watched, seen = observed(df, "total_amount")

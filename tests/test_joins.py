@@ -33,10 +33,22 @@ def test_hot_keys_of_several_columns_in_one_pass(skewed):
     assert set(keys) == {7} and sorted(payloads) == [0, 1, 2, 3]
 
 
-def test_small_tables_have_no_hot_keys(skewed):
+def test_small_keys_are_not_worth_spreading(skewed):
     assert hot_keys(skewed, "key") == ({},)
 
 
+def test_a_key_is_hot_by_its_own_rows(spark):
+    half = spark.range(60_000).selectExpr("case when id % 2 = 0 then 7 else id end as key")
+    assert set(hot_keys(half, "key")[0]) == {7}
+    few = spark.range(12_000_000).selectExpr("case when id % 1111 = 0 then 7 else id end as key")
+    assert set(hot_keys(few, "key", share=0.0005)[0]) == {7}
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        assert set(hot_keys(few, "key")[0]) == {7}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_hot_keys_of_an_empty_table(skewed):
     assert hot_keys(skewed.limit(0), "key", "payload", min_rows=1) == ({}, {})
 

@@ -37,7 +37,9 @@ def test_products_append_batch_by_batch(spark, tmp_path):
 def test_a_landing_without_products_is_an_error(spark, tmp_path):
     (tmp_path / "page.json").write_text('{"products": []}')
     with pytest.raises(EmptyBatch):
-        loads.load_products(spark, str(tmp_path), "load_test.none", AT)
+        loads.load_products(spark, str(tmp_path), "load_test.none", AT, snapshot_base=str(tmp_path / "copies"))
+    assert not (tmp_path / "copies").exists()
+    assert not spark.catalog.tableExists("load_test.none")
 
 
 def test_transactions_report_rows_and_revenue(spark):

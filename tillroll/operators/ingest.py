@@ -62,14 +62,22 @@ def active_customers(customers: DataFrame) -> DataFrame:
 
 
 def priced_lines(lines: DataFrame, products: DataFrame, hot: Hot | None = None) -> DataFrame:
-    """Lines with the name and price of their product; lines of unknown products drop out.
+    """Lines with the name and price of their product.
 
-    The measured size of the catalogue decides between broadcast and sort-merge; ``hot``
-    products spread over tasks in the second case.
+    A line whose product is not in the catalogue is an error when its price is read: an order
+    is never priced from part of its lines.  The measured size of the catalogue decides between
+    broadcast and sort-merge; ``hot`` products spread over tasks in the second case.
     """
-    catalogue = products.select("product_id", "product_name", money(F.col("price")).alias("unit_price"))
-    return join(lines, [catalogue], "product_id", hot, ["order_id", "quantity"], "inner").withColumn(
-        "item_total", (F.col("unit_price") * F.col("quantity")).cast(MONEY)
+    catalogue = products.select(
+        "product_id", "product_name", money(F.col("price")).alias("list_price"), F.lit(True).alias("listed")
+    )
+    unknown = F.raise_error(F.concat(F.lit("no such product: "), F.coalesce(F.col("product_id").cast("string"), F.lit("NULL"))))
+    price = F.when(F.col("listed"), F.col("list_price")).otherwise(unknown.cast(MONEY))
+    return (
+        join(lines, [catalogue], "product_id", hot, ["order_id", "quantity"])
+        .withColumn("unit_price", price)
+        .withColumn("item_total", (F.col("unit_price") * F.col("quantity")).cast(MONEY))
+        .drop("list_price", "listed")
     )
 
 
@@ -96,46 +104,44 @@ def pack_lines(priced: DataFrame, max_lines: int = MAX_PACKED_LINES, hot: Hot |
     """Lines of each order as JSON text: (order_id, part, parts, items_detail).
 
     An order of at most ``max_lines`` lines is one row with part 0.  A larger one is cut
-    into as many parts as keep each near ``max_lines``, so no array grows with an order;
-    every line is in exactly one part.  The part follows from the line and from the task
-    that reads it, so copies of one line spread too and a retried task repeats its choice.
+    into parts of about ``max_lines``, so no array grows with an order; every line is in
+    exactly one part.  Equal lines are counted first and dealt out in blocks.  The part
+    follows from the line and the number of its block alone, so it is the same however the
+    lines are read, and copies of one line spread too.
     """
-    spread = F.xxhash64(F.spark_partition_id(), "product_id", "quantity")
-    priced = priced.withColumn("spread", spread)
+    content = ("product_id", "product_name", "quantity", "unit_price", "item_total")
+    equal = priced.groupBy("order_id", *content).agg(F.count("*").alias("copies"))
     large = (
-        priced.groupBy("order_id")
-        .agg(F.count("*").alias("lines"))
+        equal.groupBy("order_id")
+        .agg(F.sum("copies").alias("lines"))
         .filter(F.col("lines") > max_lines)
         .select("order_id", F.ceil(F.col("lines") / max_lines).cast("int").alias("parts"))
     )
-    line = F.struct("product_id", "product_name", "quantity", "unit_price", "item_total")
+    most = max(1, max_lines // 10)
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {most}"))).alias("block")
+    cut = join(equal, [large], "order_id", hot, ["product_id", "quantity"]).select("*", blocks)
     parts = F.coalesce(F.col("parts"), F.lit(1))
-    cut = join(priced, [large], "order_id", hot, ["product_id", "quantity"]).withColumns(
+    dealt = cut.withColumns(
         {
             "parts": parts,
-            "part": F.when(parts > 1, F.pmod("spread", parts).cast("int")).otherwise(0),
+            "part": F.when(parts > 1, F.pmod(F.xxhash64(*content, "block"), parts).cast("int")).otherwise(0),
+            "held": F.least(F.lit(most), F.col("copies") - F.col("block") * most).cast("int"),
         }
     )
     return (
-        cut.groupBy("order_id", "part", "parts")
-        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
+        dealt.groupBy("order_id", "part", "parts")
+        .agg(F.array_sort(F.flatten(F.collect_list(F.array_repeat(F.struct(*content), F.col("held"))))).alias("lines"))
         .select("order_id", "part", "parts", F.to_json("lines").alias("items_detail"))
     )
 
 
-def assemble_transactions(
-    headers: DataFrame, priced: DataFrame, hot_lines: Hot | None = None, hot_headers: Hot | None = None
-) -> DataFrame:
-    """Order headers with their priced totals and packed lines, as loaded to the source layer.
+def ordered_transactions(headers: DataFrame, priced: DataFrame, hot_headers: Hot | None = None) -> DataFrame:
+    """Order headers with their priced totals, as loaded, without the packed lines.
 
-    An order without lines is not an order here.  ``items_detail`` holds part 0 of
-    ``items_parts``; ``pack_lines`` has all parts.
+    An order without lines is not an order here.
     """
-    first = pack_lines(priced, hot=hot_lines).filter("part = 0").select(
-        "order_id", F.col("parts").alias("items_parts"), "items_detail"
-    )
     ordered = join(headers, [price_orders(priced)], "order_id", hot_headers, ["customer_id"], "inner")
-    return join(ordered, [first], "order_id", hot_headers, ["customer_id"]).select(
+    return ordered.select(
         F.col("order_id").alias("transaction_id"),
         F.format_string(ORDER_CODE_FORMAT, "order_id").alias("order_id"),
         "customer_id",
@@ -146,8 +152,33 @@ def assemble_transactions(
         "shipping_cost",
         "total_amount",
         "num_items",
-        "items_detail",
-        "items_parts",
         "payment_method",
         "shipping_method",
     )
+
+
+def assemble_transactions(
+    headers: DataFrame, priced: DataFrame, hot_lines: Hot | None = None, hot_headers: Hot | None = None
+) -> DataFrame:
+    """Orders as loaded to the source layer, with their packed lines where one text holds them.
+
+    ``items_parts`` tells into how many parts the lines are cut; where there are more than one,
+    ``items_detail`` is NULL and ``large_order_parts`` has the lines.
+    """
+    whole = (
+        pack_lines(priced, hot=hot_lines)
+        .groupBy(F.col("order_id").alias("transaction_id"))
+        .agg(
+            F.max("parts").alias("items_parts"),
+            F.max(F.when(F.col("parts") == 1, F.col("items_detail"))).alias("items_detail"),
+        )
+    )
+    ordered = ordered_transactions(headers, priced, hot_headers)
+    joined = join(ordered, [whole], "transaction_id", hot_headers, ["customer_id"])
+    last = ("payment_method", "shipping_method")
+    return joined.select(*[c for c in ordered.columns if c not in last], "items_detail", "items_parts", *last)
+
+
+def large_order_parts(priced: DataFrame, hot_lines: Hot | None = None) -> DataFrame:
+    """All parts of the orders that one text does not hold: (order_id, part, parts, items_detail)."""
+    return pack_lines(priced, hot=hot_lines).filter("parts > 1")

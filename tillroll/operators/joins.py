@@ -10,9 +10,12 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
-HOT_ROWS = 5_000_000
-_TRACKED = 8192
+#: A key of fewer rows is one small task.
+HOT_ROWS = 10_000
+LEAST_SHARE = 4e-6
+#: Bounds on the items that a sketch keeps.
+_LEAST_TRACKED = 1024
+_MOST_TRACKED = 1_000_000
 _SALT = "_salt"
 
 # Hot values of a key (None for NULL) with their share of the rows.
@@ -20,29 +23,40 @@ Hot = Mapping[object, float]
 
 
 def hot_keys(
-    df: DataFrame, *keys: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame, *keys: str, share: float | None = None, min_rows: int = HOT_ROWS
 ) -> tuple[dict[object, float], ...]:
     """For each of ``keys``, the values that hold at least ``share`` of the rows, and their shares.
 
-    One pass over the key columns.  Each task keeps a fixed-size frequent-item sketch,
-    groups of tasks merge theirs, and the last step merges those, so nothing that grows
-    with the number of keys is shuffled or collected: at most ``1 / share`` values return.
-    The result only steers the physical plan; a missed or surplus value changes no row.
-    A table of fewer than ``min_rows`` rows is only counted.
+    One pass over the key columns counts the rows and sketches the keys.  Each task keeps a
+    fixed-size frequent-item sketch, groups of tasks merge theirs, and the last step merges
+    those, so nothing that grows with the number of keys is shuffled or collected: at most
+    ``1 / share`` values return.  Without a ``share``, it is a quarter of a shuffle partition's,
+    at any number of partitions up to ``1 / LEAST_SHARE``.  A key of fewer than ``min_rows`` rows is
+    not worth spreading, whatever its share.  The result only steers the physical plan; a missed or
+    surplus value changes no row.
     """
-    rows = df.select(*keys).count()
-    if rows < min_rows:
+    if share is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = max(LEAST_SHARE, 1 / (4 * partitions))
+    most = max(1, int(1 / share))
+    tracked = min(_MOST_TRACKED, max(_LEAST_TRACKED, 4 * most))
+    most = min(most, tracked)
+    if df.isEmpty():
         return tuple({} for _ in keys)
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(1024)).alias("task_group")).agg(
-        *[F.expr(f"approx_top_k_accumulate(`{k}`, {_TRACKED}) as sketch_{i}") for i, k in enumerate(keys)]
+        F.count("*").alias("rows"),
+        *[F.expr(f"approx_top_k_accumulate(`{k}`, {tracked}) as sketch_{i}") for i, k in enumerate(keys)],
     )
     whole = sketches.agg(
-        *[F.expr(f"approx_top_k_combine(sketch_{i}, {_TRACKED}) as sketch_{i}") for i in range(len(keys))]
+        F.sum("rows").alias("rows"),
+        *[F.expr(f"approx_top_k_combine(sketch_{i}, {tracked}) as sketch_{i}") for i in range(len(keys))],
     )
-    most = max(1, int(1 / share))
-    found = whole.select(*[F.expr(f"approx_top_k_estimate(sketch_{i}, {most})") for i in range(len(keys))]).first()
+    found = whole.select(
+        "rows", *[F.expr(f"approx_top_k_estimate(sketch_{i}, {most})") for i in range(len(keys))]
+    ).first()
+    rows, tops = found[0] or 0, found[1:]
     least = max(min_rows, rows * share)
-    return tuple({top["item"]: top["count"] / rows for top in tops if top["count"] >= least} for tops in found)
+    return tuple({top["item"]: top["count"] / rows for top in top_k or [] if top["count"] >= least} for top_k in tops)
 
 
 def _ways(key: str, hot: Hot, partitions: int) -> Column:

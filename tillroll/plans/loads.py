@@ -6,8 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.operators.batch import observed, run_metrics
-from tillroll.operators.ingest import assemble_transactions, flatten_products, priced_lines, with_segment
+from tillroll.operators.batch import EmptyBatch, observed, run_metrics
+from tillroll.operators.ingest import (
+    assemble_transactions,
+    flatten_products,
+    large_order_parts,
+    priced_lines,
+    with_segment,
+)
 from tillroll.operators.joins import hot_keys
 from tillroll.sources.payload import read_documents
 from tillroll.sources.tables import append, snapshot, stamp
@@ -28,6 +34,8 @@ def load_batch(
     the table is loaded from that copy, so the batch is computed once.
     """
     stamped = stamp(df, at, source)
+    if not allow_empty and stamped.isEmpty():
+        raise EmptyBatch(f"no rows for {table}; nothing was written")
     if snapshot_base:
         name = table.rsplit(".", 1)[-1]
         stamped = df.sparkSession.read.parquet(snapshot(stamped, snapshot_base, name, at))
@@ -66,8 +74,12 @@ def load_transactions(
     source: str,
     snapshot_base: str | None = None,
 ) -> dict:
-    """Orders priced from their lines; hot products and orders are spread over tasks."""
+    """Orders priced from their lines; hot products and orders are spread over tasks.
+
+    The lines of orders too large for one text go to ``<table>_parts``, before the orders.
+    """
     hot_products, hot_orders = hot_keys(lines, "product_id", "order_id")
     priced = priced_lines(lines, products, hot_products)
     orders = assemble_transactions(headers, priced, hot_orders, *hot_keys(headers, "order_id"))
+    append(stamp(large_order_parts(priced, hot_orders), at, source), f"{table}_parts")
     return load_batch(orders, table, at, source, snapshot_base, revenue="total_amount")

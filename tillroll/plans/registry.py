@@ -129,7 +129,14 @@ def _columns(model: str, columns: tuple[str, ...]) -> Query:
 
 
 def _raw(name: str) -> Query:
-    return lambda spark, sf_dir: derived.RAW_TABLES[name](spark, sf_dir)
+    """A raw table, written and scanned under its declared schema."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{_fresh(spark)}/{name}"
+        derived.RAW_TABLES[name](spark, sf_dir).write.parquet(path)
+        return tables.raw_scan(spark, path, name)
+
+    return run
 
 
 # --- ingestion ---------------------------------------------------------------
@@ -175,10 +182,30 @@ def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = tables.stamp(_packed(spark, sf_dir), INGESTED_AT, "packed")
+    """The lines of the orders that a load has written."""
+    name = _new_table("transactions")
+    lines, products = derived.order_lines(spark, sf_dir), derived.source_products(spark, sf_dir)
+    loads.load_transactions(derived.order_headers(spark, sf_dir), lines, products, name, INGESTED_AT, "packed")
+    loaded = adapters.loaded_lines(spark.table(name), spark.table(f"{name}_parts"))
     return adapters.raw_order_items(loaded).drop("id")
 
 
+def _large_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of a customer as one order, packed ten to a part: lines and parts counted from the packed text."""
+    customers = derived.order_headers(spark, sf_dir).select("order_id", "customer_id")
+    lines = derived.order_lines(spark, sf_dir).join(customers, "order_id").drop("order_id")
+    lines = lines.withColumnRenamed("customer_id", "order_id")
+    packed = ingest.pack_lines(ingest.priced_lines(lines, derived.source_products(spark, sf_dir)), max_lines=10)
+    read = packed.withColumn("line", F.explode(adapters.parse_lines(F.col("items_detail"))))
+    return read.groupBy("order_id").agg(
+        F.count("*").alias("lines"), F.max("parts").alias("parts"), F.sum("line.item_total").alias("total")
+    )
+
+
+def _ordered_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.ordered_transactions(derived.order_headers(spark, sf_dir), _priced(spark, sf_dir))
+
+
 def _stamped_products(spark: SparkSession, sf_dir: str, at: datetime = INGESTED_AT) -> DataFrame:
     return tables.stamp(_flattened(spark, sf_dir), at, "landing")
 
@@ -290,6 +317,14 @@ def _j3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_items.with_products(lines, m["transform_products"], m.hot_in_items[0])
 
 
+def _j3_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join of lines and products with every product of a few lines spread."""
+    m = retail(spark, sf_dir)
+    lines = m["stg_order_items"].select("source_order_item_id", order_items.PRODUCT_KEY, "quantity")
+    (hot,) = hot_keys(lines, order_items.PRODUCT_KEY, share=0.0001, min_rows=20)
+    return order_items.with_products(lines, m["transform_products"], hot)
+
+
 def _j4(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = retail(spark, sf_dir)
     lines = m["stg_order_items"].select("source_order_item_id", order_items.ORDER_KEY, "total_price")
@@ -361,6 +396,7 @@ def all_queries() -> dict[str, Query]:
         "j1_orders_items": _j1,
         "j2_orders_txns": _j2,
         "j3_items_products": _j3,
+        "j3_spread_products": _j3_spread,
         "j4_items_orders": _j4,
         "j5_txns_orders": _j5,
     }
@@ -374,8 +410,9 @@ def all_queries() -> dict[str, Query]:
         "i4_order_pricing": lambda s, d: ingest.price_orders(_priced(s, d)),
         "i5_pack_items": _packed,
         "i6_item_count": lambda s, d: ingest.price_orders(_priced(s, d)).select("order_id", "num_items"),
-        "i7_order_code": lambda s, d: _source_transactions(s, d).select("transaction_id", "order_id"),
-        "i8_iso_time": lambda s, d: _source_transactions(s, d).select("transaction_id", "order_date"),
+        "i5_pack_large_orders": _large_orders,
+        "i7_order_code": lambda s, d: _ordered_transactions(s, d).select("transaction_id", "order_id"),
+        "i8_iso_time": lambda s, d: _ordered_transactions(s, d).select("transaction_id", "order_date"),
         "i9_active": lambda s, d: ingest.active_customers(derived.source_customers(s, d)),
         "i10_lookup": _priced,
         "source_transactions": _source_transactions,
@@ -429,7 +466,7 @@ def all_queries() -> dict[str, Query]:
         "m2_batch_revenue": lambda s, d: batch.batch_metrics(_daily_batches(s, d), revenue="total_amount"),
         "m2_load_metrics": _loaded_metrics,
         "m3_day_slice": lambda s, d: batch.day_slice(
-            derived.raw_orders(s, d), DAY_SLICE_AS_OF
+            _raw("raw_orders")(s, d), DAY_SLICE_AS_OF
         ).select("source_order_id", "order_date", "total_amount"),
         "q1_not_null": _not_null,
         "q2_unique": _unique,

@@ -59,23 +59,45 @@ def parse_lines(text: Column) -> Column:
 
 
 def unreadable_lines(packed: DataFrame, column: str = "items_detail") -> DataFrame:
-    """Rows whose packed lines cannot be read; ``raw_order_items`` yields nothing for them."""
+    """Rows whose packed lines cannot be read; ``raw_order_items`` fails on them unless told to skip them."""
     return packed.filter(F.col(column).isNotNull() & parse_lines(F.col(column)).isNull())
 
 
-def raw_order_items(packed: DataFrame) -> DataFrame:
-    """Packed lines (order_id, part, items_detail + batch columns) to one row per line.
+def loaded_lines(transactions: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """Packed lines of the loaded orders: those held in the order's row, and the ``parts`` of large orders.
 
-    The item id is order, part and position, so it is the same on every run.
+    Both are the tables that ``load_transactions`` writes.
     """
-    key = ("order_id", "part", F.col("position").cast("string"))
-    exploded = _loaded(packed).select(
-        "*", F.posexplode(parse_lines(F.col("items_detail"))).alias("position", "line")
+    stamps = ("generated_at", "batch_id", "source")
+    held = transactions.filter("items_detail IS NOT NULL").select(
+        order_number(F.col("order_id")).alias("order_id"), F.lit(0).alias("part"), "items_detail", *stamps
     )
+    return held if parts is None else held.unionByName(parts.select(*held.columns))
+
+
+def raw_order_items(packed: DataFrame, skip_unreadable: bool = False) -> DataFrame:
+    """Packed lines (order_id, part, items_detail + batch columns) to one row per line.
+
+    The item id is order, part and position.  All three follow from the lines alone, so it is the
+    same on every run.  ``id`` holds the three in one number: an order above 2 to the 35, a part
+    above 2 to the 14 or a position above 2 to the 14 is an error, not another line's id.
+    Text that cannot be read is an error, unless ``unreadable_lines`` has reported it and it is to
+    be skipped.
+    """
+    text = F.col("items_detail")
+    lines = parse_lines(text)
+    if not skip_unreadable:
+        unreadable = F.raise_error(F.concat(F.lit("unreadable lines of order "), F.col("order_id").cast("string")))
+        lines = F.coalesce(lines, F.when(text.isNotNull(), unreadable.cast(PACKED_LINES)))
+    exploded = _loaded(packed).select("*", F.posexplode(lines).alias("position", "line"))
+    within = (F.col("order_id") < 1 << 35) & (F.col("part") < 1 << 14) & (F.col("position") < 1 << 14)
+    number = (F.col("order_id") * (1 << 28)) + F.col("part") * (1 << 14) + F.col("position")
     shaped = exploded.withColumns(
         {
-            "id": F.xxhash64(*key),
-            "source_order_item_id": F.concat_ws("-", "order_id", F.col("part").cast("string"), key[2]),
+            "id": F.when(within, number).otherwise(F.raise_error(F.lit("no id for the line")).cast("bigint")),
+            "source_order_item_id": F.concat_ws(
+                "-", "order_id", F.col("part").cast("string"), F.col("position").cast("string")
+            ),
             "source_order_id": F.col("order_id"),
             "source_product_id": F.col("line.product_id"),
             "quantity": F.col("line.quantity"),

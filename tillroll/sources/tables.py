@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -21,13 +20,13 @@ REFERENCE_COLUMNS = {
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session without the setting falls back to a temporary folder.
+    Only a local session without the setting falls back to a folder in its warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tillroll-")
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
@@ -70,12 +69,15 @@ def _database(spark: SparkSession, table: str) -> None:
 def append(df: DataFrame, table: str) -> int:
     """Append by column name, creating the table if absent; the rows written.
 
-    The count comes from the write itself, not from a second pass.
+    A batch with other columns than the table is an error before anything is written.  The count comes from the write itself, not from a second pass.
     """
     spark = df.sparkSession
     _database(spark, table)
     if spark.catalog.tableExists(table):
-        df = df.select(*spark.table(table).columns)
+        columns = spark.table(table).columns
+        if set(columns) != set(df.columns):
+            raise ValueError(f"columns of the batch and of {table} differ: {sorted(set(columns) ^ set(df.columns))}")
+        df = df.select(*columns)
     counted, seen = _counted(df)
     counted.write.mode("append").format("parquet").saveAsTable(table)
     return seen.get["rows"]

@@ -6,6 +6,7 @@ the last, stops, and never loads one twice, also when a run dies half way.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -21,15 +22,16 @@ def load_new_documents(
 ) -> int:
     """Append the products of new documents under ``landing`` to the Parquet folder ``target``.
 
-    Returns the rows added.  The checkpoint records which files are done; it lives in the
-    shared folder the session names unless given.
+    Returns the rows added.  The checkpoint records which files are done; unless given, it is a
+    folder of this landing and target in the shared folder the session names.
     """
+    of = hashlib.sha256(f"{landing}\n{target}".encode()).hexdigest()
     documents = spark.readStream.schema(PRODUCT_PAYLOAD).option("mode", "FAILFAST").json(landing)
     products = stamp(flatten_products(documents), at, source)
     started = (
         products.observe("loaded", F.count(F.lit(1)).alias("rows"))
         .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/landing/products")
+        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/landing/{of}")
         .option("path", target)
         .outputMode("append")
         .trigger(availableNow=True)
