@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import record_batch, small_batches, texts_of
 
-#: Private key blocks, and runs that could be a key.
+#: Private key blocks, and runs that could be a key, if ``LEAST`` characters are left without the signs at their end.
+#: The patterns here take time in proportion to a text, whatever it holds.
 CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    r"|[A-Za-z0-9_+/=.~:@%-]*[A-Za-z0-9_+/=~-]{16,}"
+    r"|[A-Za-z0-9_+/=.~:@%-]{16,}"
 )
+LEAST = 16
 #: Characters before and after a candidate that its features see.
 CONTEXT = 64
 #: Findings of the corpus that training takes at most, with and without the label.
@@ -54,7 +56,7 @@ DICTIONARY = sorted(
 )
 _WORDS = re.compile("|".join(w for w in DICTIONARY if len(w) > 2), re.IGNORECASE)
 _NEIGHBOURS = re.compile(r"[A-Za-z]+")
-_PATH = re.compile(r"^(?:[a-z]+:)?/|[\w-]+/[\w-]+/|\.(?:[a-z]{2,4})(?:$|[/:])|@|://")
+_PATH = re.compile(r"^(?:[a-z]+:)?/|[\w-]/[\w-]+/|\.(?:[a-z]{2,4})(?:$|[/:])|@|://")
 _UUID = re.compile(r"^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
 
 FEATURES = (
@@ -75,8 +77,10 @@ class Finding:
 def findings(text: str) -> Iterator[tuple[int, Finding]]:
     """Candidates of the whole text, with the place of their first character."""
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        yield a, Finding(m.group(), text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT])
+        value = m.group() if m.group().startswith("-----BEGIN ") else m.group().rstrip(".:@%")
+        if len(value) >= LEAST:
+            a, b = m.start(), m.start() + len(value)
+            yield a, Finding(value, text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT])
 
 
 def _kind(c: str) -> int:
