@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import quotient
@@ -11,6 +10,7 @@ from tillroll.functions.columns import quotient
 SAMPLE_ROWS = 10
 TOP_STATES = 10
 LAST_PERIODS = 6
+MEDIAN_BANDS = 4096
 
 PRODUCT_SAMPLE = ("product_id", "product_name", "brand", "category", "price", "rating", "stock")
 CUSTOMER_SAMPLE = ("customer_id", "first_name", "last_name", "email", "city", "state", "customer_segment")
@@ -50,39 +50,35 @@ def counts_by_value(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows")).orderBy(column)
 
 
-def exact_median(df: DataFrame, amount: str) -> DataFrame:
+def exact_median(df: DataFrame, amount: str) -> float | None:
     """Exact median of a money column, the mean of the two middle values for an even count.
 
-    Rows are counted per amount, then per band of 1000 units of currency.  The running
-    total over the bands finds those that hold the two middle positions, and only the
-    amounts of these are ranked.  The two sorts see one row per band and one per amount of
-    a band: at most 200,000 and 100,000 rows over DECIMAL(10,2), whatever the table size.
+    Each pass counts the rows of at most ``MEDIAN_BANDS`` bands of the range that holds the middle,
+    and the next pass divides that band, until a band is one cent wide: three passes for totals
+    up to 160,000, six for the full width of DECIMAL(18,2).  No pass sorts or holds more than the bands.
     """
-    per_amount = (
-        df.filter(F.col(amount).isNotNull())
-        .groupBy(F.col(amount).alias("amount"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("band", F.floor(F.col("amount") / 1000))
-    )
-    through, total = F.sum("n").over(W.orderBy("band")), F.sum("n").over(W.partitionBy())
-    bands = per_amount.groupBy("band").agg(F.sum("n").alias("n"))
-    middle = (
-        bands.select("band", (through - F.col("n")).alias("before"), through.alias("through"), total.alias("total"))
-        .withColumns({"low": F.expr("(total + 1) div 2"), "high": F.expr("total div 2 + 1")})
-        .filter(
-            F.col("low").between(F.col("before") + 1, F.col("through"))
-            | F.col("high").between(F.col("before") + 1, F.col("through"))
-        )
-        .select("band", "before", "low", "high")
-    )
-    reached = F.col("before") + F.sum("n").over(W.partitionBy("band").orderBy("amount"))
-    ranked = per_amount.join(middle, "band").withColumn("reached", reached)
-
-    def at(position: str) -> Column:
-        holds = F.col(position).between(F.col("reached") - F.col("n") + 1, F.col("reached"))
-        return F.max(F.when(holds, F.col("amount"))).cast("double")
-
-    return ranked.agg(((at("low") + at("high")) / 2).alias("median"))
+    cents = (F.col(amount) * 100).cast("bigint")
+    known = df.filter(F.col(amount).isNotNull()).select(cents.alias("cents"))
+    total, least, most = known.agg(F.count("*"), F.min("cents"), F.max("cents")).first()
+    if not total:
+        return None
+
+    def at(position: int) -> int:
+        low, high, before = least, most, 0
+        while low < high:
+            width = -(-(high - low + 1) // MEDIAN_BANDS)
+            band = F.expr(f"(cents - {low}L) div {width}L").alias("band")
+            inside = known.filter(F.col("cents").between(low, high))
+            for number, rows in sorted(map(tuple, inside.groupBy(band).count().collect())):
+                if before + rows >= position:
+                    low, high = low + number * width, min(high, low + (number + 1) * width - 1)
+                    break
+                before += rows
+        return low
+
+    first = at((total + 1) // 2)
+    second = first if total % 2 else at(total // 2 + 1)
+    return (first / 100 + second / 100) / 2
 
 
 def revenue_summary(transactions: DataFrame, amount: str = "total_amount") -> DataFrame:
@@ -91,7 +87,7 @@ def revenue_summary(transactions: DataFrame, amount: str = "total_amount") -> Da
         F.count("*").alias("transactions"),
         F.sum(amount).alias("revenue"),
         quotient(F.sum(amount), F.count(amount)).alias("mean"),
-    ).withColumn("median", exact_median(transactions, amount).scalar())
+    ).withColumn("median", F.lit(exact_median(transactions, amount)).cast("double"))
 
 
 def _last_periods(transactions: DataFrame, period: Column, amount: str) -> DataFrame:
