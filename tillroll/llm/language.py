@@ -155,7 +155,6 @@ def train(docs: DataFrame, learned: Column, sample_rows: int = SAMPLE_ROWS) -> M
     found = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not found:
         return None
-    languages = tuple(sorted(r["lang"] for r in found))
     quota = max(2, sample_rows // len(found))
     drawn = F.lit(False)
     for r in found:
@@ -166,9 +165,8 @@ def train(docs: DataFrame, learned: Column, sample_rows: int = SAMPLE_ROWS) -> M
         return None
     vectors = np.stack([np.frombuffer(r["vector"], np.uint8) for r in rows]).astype(np.float32)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    present = tuple(sorted({r["lang"] for r in rows}))
-    numbers = {lang: i for i, lang in enumerate(present)}
-    return fit(vectors, np.array([numbers[r["lang"]] for r in rows]), present if len(present) else languages)
+    languages = tuple(sorted({r["lang"] for r in rows}))
+    return fit(vectors, np.array([languages.index(r["lang"]) for r in rows]), languages)
 
 
 class _Judge:

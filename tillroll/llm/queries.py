@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, language, neardup, packing, quality, secrets, syncmers, token_counts, token_files, toxicity
+from tillroll.llm import (
+    bpe,
+    language,
+    neardup,
+    packing,
+    quality,
+    secrets,
+    syncmers,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from tillroll.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,8 +109,8 @@ def _op1_statement() -> str:
         "ellipsis_line_ratio": "n_ellipses / n_lines",
     }
     divided = ", ".join(
-        f"CASE WHEN {r.split(' / ')[1]} = 0 THEN 0.0 ELSE CAST({r.split(' / ')[0]} AS DOUBLE) / {r.split(' / ')[1]} END AS {n}"
-        for n, r in ratios.items()
+        f"CASE WHEN {whole} = 0 THEN 0.0 ELSE CAST({part} AS DOUBLE) / {whole} END AS {name}"
+        for name, (part, whole) in ((n, r.split(" / ")) for n, r in ratios.items())
     )
     return rf"""
 WITH d AS (
