@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import record_batch, small_batches, texts_of
+from tillroll.llm.common import record_batch, saved, small_batches, texts_of
 
 #: Private key blocks, and runs that could be a key, if ``LEAST`` characters are left without the signs at their end.
 #: The patterns here take time in proportion to a text, whatever it holds.
@@ -35,10 +35,11 @@ TREES, DEPTH, LEAST_LEAF, CUTS = 32, 8, 4, 12
 MASK = "<secret>"
 
 #: Fixed beginnings of public key formats.
-PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "AIza", "eyJ")
+PREFIXES = tuple("AKIA ASIA ghp_ gho_ ghs_ github_pat_ glpat- xoxb- xoxp- sk_live_ AIza eyJ".split())
 #: Words beside secrets.
 NEAR = set(
-    "token secret key apikey api password passwd pwd auth authorization bearer credential credentials access private".split()
+    "token secret key apikey api password passwd pwd auth authorization bearer credential credentials access "
+    "private".split()
 )
 #: Words beside strings that look like secrets and are none.
 FAR = set("commit sha checksum digest hash md5 uuid id ref revision version etag integrity example sample".split())
@@ -60,8 +61,8 @@ _PATH = re.compile(r"^(?:[a-z]+:)?/|[\w-]/[\w-]+/|\.(?:[a-z]{2,4})(?:$|[/:])|@|:
 _UUID = re.compile(r"^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
 
 FEATURES = (
-    "length hex digits upper lower signs transitions entropy distinct longest_alpha_run coverage path uuid prefix block "
-    "assigned quoted near far known_word_before"
+    "length hex digits upper lower signs transitions entropy distinct longest_alpha_run coverage path uuid prefix "
+    "block assigned quoted near far known_word_before"
 ).split()
 
 
@@ -237,7 +238,7 @@ def examples(contexts: Sequence[str], count: int) -> list[tuple[Finding, int]]:
 
 
 def labelled_findings(docs: DataFrame, sample: int = SAMPLE_FINDINGS) -> list[tuple[Finding, int]]:
-    """Findings of the corpus that ``seed_label`` is sure of, about ``sample`` of each label, and ``examples`` among them.
+    """Findings of the corpus that ``seed_label`` is sure of, ``sample`` of each label at most, and ``examples``.
 
     All documents are scanned for them; a hash of the finding picks the sample.
     """
@@ -254,6 +255,7 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE_FINDINGS) -> list[tu
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     found = docs.select("text").mapInArrow(run, "value string, before string, after string, label int").distinct()
+    found = saved(found, "findings")
     order = F.xxhash64("value", "before")
     drawn: list[tuple[Finding, int]] = []
     for label in (0, 1):
