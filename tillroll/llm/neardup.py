@@ -1,8 +1,8 @@
 """Near-duplicate groups: fast similarity sketches, banding, exact verification and connected components.
 
-A text's set is its distinct word shingles, as 64-bit hashes.  A sketch has ``t`` coordinates; in every round each shingle
-is thrown into one of them by a hash, with a value that grows with the round, and each coordinate keeps its least value.
-After ``t`` rounds, one round per coordinate throws every shingle into it, so all fill.  Two sets agree in a coordinate
+A text's set is its distinct word shingles, as 64-bit hashes.  A sketch has ``t`` coordinates; in every round each
+shingle is thrown into one of them by a hash, with a value that grows with the round, and each coordinate keeps its
+least value.  After ``t`` rounds, one round per coordinate throws every shingle into it, so all fill.  Two sets agree in a coordinate
 with a chance equal to their similarity, and the share of agreements is concentrated about it as for independent draws.
 
 Bands of coordinates put similar sets into common buckets.  Every link is confirmed on the full sets.  No bucket is
@@ -76,7 +76,8 @@ def sketch(hashes: np.ndarray, t: int) -> np.ndarray:
         thrown = mixed(hashes[None, :] ^ mixed((rounds + np.uint64(1)) * _MULTIPLIER)[:, None])
         levels = (rounds[:, None] << _SHIFT) + (thrown & _LOW)
         if bins is None:
-            np.minimum.at(values, (((thrown >> _SHIFT) * np.uint64(t)) >> _SHIFT).ravel().astype(np.intp), levels.ravel())
+            places = ((thrown >> _SHIFT) * np.uint64(t)) >> _SHIFT
+            np.minimum.at(values, places.ravel().astype(np.intp), levels.ravel())
         else:
             values[bins] = levels.min(axis=1)
 
@@ -233,10 +234,12 @@ def _links_in_blocks(members: DataFrame, threshold: int, t: int) -> DataFrame:
                 if a != b and similar(sets[x], sets[y], threshold):
                     parent[max(a, b)] = min(a, b)
                     links.append((rows["id"][x], rows["id"][y]))
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = members.withColumn("blocks", blocks)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
         {"one": F.least("block", "other"), "two": F.greatest("block", "other")}
     )
@@ -252,7 +255,7 @@ def near_duplicates(
     Rows are linked whose ``k``-word shingle sets have 100 * intersection >= ``threshold`` * union;
     component_id is the least key reachable over links, and kept tells whether it is the row's own.  A null or
     empty text, or one without words, has an empty set and is linked with nothing.  Rows with equal sets are linked
-    whatever their texts; rows that repeat a key share its component.  A null key counts as no key: its row
+    whatever their texts.  Rows that repeat a key are one document: a link of any of their texts is its link.  A null key counts as no key: its row
     takes the component of its copies, or null, and is not kept.
 
     Links are found with a chance of 1 - ``MISS`` at the threshold, more above it, and none is reported that the full sets
@@ -272,8 +275,9 @@ def near_duplicates(
     hubs = rows.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     met = saved(rows.join(hubs, "band").filter("id <> hub"), "buckets")
     pairs = saved(met.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = saved(shingle_sets(texts.join(involved, "id", "left_semi"), k).dropDuplicates(["id"]), "shingles")
+    # Their number grows with the texts, so they are not broadcast, and the plan is the same at any size.
+    involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().hint("merge")
+    sets = saved(shingle_sets(texts.join(involved, "id", "left_semi"), k), "shingles")
     links = saved(confirmed(pairs, sets, threshold), "star-links")
     labels = saved(components(links), "components")
 
@@ -318,12 +322,10 @@ def drop_near_duplicates(
     Of rows that repeat a key, one stays.  Rows with a null key cannot be named and stay.
     """
     found = near_duplicates(docs, k, threshold, key, text)
-    judged = found.groupBy(key).agg(
-        F.max("kept").alias("kept"), F.count("*").alias("times"), F.min("component_id").alias("component_id")
-    )
+    judged = found.groupBy(key).agg(F.max("kept").alias("kept"), F.count("*").alias("times"))
     judged = saved(judged.filter(F.col(key).isNotNull() & (~F.col("kept") | (F.col("times") > 1))), "judged")
-    gone = judged.filter("not kept").select(key)
-    repeated = judged.filter("kept and times > 1").select(key)
-    stay = docs.join(gone.union(repeated), key, "left_anti").select(*docs.columns)
-    once = docs.join(repeated, key, "left_semi").select(*docs.columns).dropDuplicates([key])
-    return stay.unionByName(once)
+    stay = docs.join(judged.select(key).hint("merge"), key, "left_anti").select(*docs.columns)
+    repeated = judged.filter("kept").select(key)
+    if repeated.isEmpty():
+        return stay
+    return stay.unionByName(docs.join(repeated, key, "left_semi").select(*docs.columns).dropDuplicates([key]))
