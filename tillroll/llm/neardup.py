@@ -191,7 +191,6 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = saved(large, "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = saved(small.union(least.withColumnRenamed("m", "v")).distinct(), "links")
@@ -299,7 +298,8 @@ def near_duplicates(
     )
     more = saved(_links_in_blocks(left, threshold, band_count(threshold) * BAND_ROWS), "block-links")
     if not more.isEmpty():
-        labels = saved(components(links.union(more)), "components")
+        stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = saved(components(stars.union(more)), "components")
 
     grouped = classes.select("digest", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
     of_set = grouped.select("digest", F.coalesce("component", "id").alias("component"))
