@@ -21,8 +21,8 @@ import regex
 #: White space, printable ASCII, Latin, Cyrillic, kana, Han and Hangul syllables: letters, digits and signs that need no
 #: normalization and whose lower case is one code point.
 SAFE = "\t\n\r -~¡-¬®-Įı-ɏЀ-џぁ-ゖァ-ヺ一-龥가-힣"
-#: Words cached before the cache starts anew.
-CACHE = 150_000
+#: Entries of a cache's newer half; what is not asked for while that fills is forgotten.
+CACHE = 80_000
 
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 _BYTES_ONLY = _BYTE_LEVEL | {"use_regex": False}
@@ -42,22 +42,40 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = dict.fromkeys(_PRINTABLE) | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 _SHOWN = {b: b if c is None else c for b, c in _SHOWN.items()}
 
+_SHOWN_SPACE = chr(_SHOWN[32])
+_ENDS = (",", ".", ";", ":", "!", "?")
+
 
 def mapped(piece: str) -> str:
     """A pre-token as byte-level models see it: one character per byte."""
+    if piece.isascii() and piece.isprintable():
+        return piece.replace(" ", _SHOWN_SPACE)
     return piece.encode().decode("latin-1").translate(_SHOWN)
 
+#: White space after white space, or any other than space and newline.
+_DOUBLE_SPACE = re.compile(r"\s\s|[^\S \n]").search
+
 
 class _Filled(dict):
-    """A dict that computes what it lacks."""
+    """A dict that computes what it lacks, and keeps what it was asked for lately."""
 
     def __init__(self, make: Callable[[str], bytes]):
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
+    def age(self) -> None:
+        """Called between texts: once full, only what is asked for again will stay."""
+        if len(self) > CACHE:
+            self.older = dict(self)
+            self.clear()
+
 
 class PreTokens:
     """A tokenizers file, seen as pre-tokens."""
@@ -93,32 +111,42 @@ class PreTokens:
         self._odd = re.compile(f"[^{SAFE}]").search
         # Without specials the pattern matches nothing.
         self._special_parts = re.compile("(" + ("|".join(map(re.escape, self.specials)) or "(?!)") + ")").split
-        self._reset()
-
-    def _reset(self) -> None:
         self._of_word = _Filled(self._word)
+        self._of_spaced = _Filled(lambda word: self._word(" " + word))
         self._of_piece = _Filled(self._piece)
+        self._tokenize = self.library.model.tokenize
 
     def plain(self, text: str) -> bool:
         """Whether the text is made of safe characters and holds no special string."""
         return self.known and self._odd(text) is None and not any(s in text for s in self.specials)
 
     def _piece(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.library.model.tokenize(mapped(piece))]).tobytes()
+        return array("I", [t.id for t in self._tokenize(mapped(piece))]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        pieces = self._pieces(word)
-        if len(pieces) == 1:
-            return self._piece(pieces[0])
-        return b"".join(map(self._of_piece.__getitem__, pieces))
+        letters = word[1:] if word[:1] == " " else word
+        if letters.isalpha():
+            return self._piece(word)
+        # Most others are a word and the sign that ends a clause.
+        if letters[-1:] in _ENDS and letters[:-1].isalpha():
+            return self._of_piece[word[:-1]] + self._of_piece[word[-1]]
+        return b"".join(map(self._of_piece.__getitem__, self._pieces(word)))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as ``encode(text, add_special_tokens=False)`` of the library gives them."""
         if not self.plain(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        if len(self._of_word) > CACHE:
-            self._reset()
-        return np.frombuffer(b"".join(map(self._of_word.__getitem__, self.words(text))), dtype=np.uint32)
+        for cache in (self._of_word, self._of_spaced, self._of_piece):
+            cache.age()
+        if self.lower or _DOUBLE_SPACE(text):
+            return np.frombuffer(b"".join(map(self._of_word.__getitem__, self.words(text))), dtype=np.uint32)
+        # Single spaces and newlines only: a space belongs to the word after it, a newline stands by itself.
+        parts: list[bytes] = []
+        for line in text.split("\n"):
+            first, *words = line.split(" ")
+            parts += (self._of_word["\n"], self._of_word[first])
+            parts += map(self._of_spaced.__getitem__, words)
+        return np.frombuffer(b"".join(parts[1:]), dtype=np.uint32)
 
     def words(self, text: str) -> list[str]:
         """White-space bounded parts of a plain text; no pre-token crosses them."""
