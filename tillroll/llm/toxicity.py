@@ -31,8 +31,8 @@ LEAST_TEXTS = 3
 WINDOW, STEP = 8, 4
 #: Windows of a text without the label that each round learns from: those it finds most toxic.
 HARD_WINDOWS = 3
-#: Tokens whose value a worker keeps.
-CACHE = 150_000
+#: Entries of the newer half of a worker's cache of token values.
+CACHE = 100_000
 
 _WARM_UP, _ROUNDS = 3, 40
 _RATE = 0.5
@@ -42,8 +42,12 @@ _DAMPING = 0.2
 def subwords(word: str) -> list[int]:
     """Buckets of the word itself and of its n-grams, with marks for where it begins and ends."""
     marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in {marked, *grams}]
+    if marked.isascii():
+        marked = marked.encode()
+        grams = {marked[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1)}
+        return [crc & (BUCKETS - 1) for crc in map(zlib.crc32, grams | {marked})]
+    grams = {marked[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1)}
+    return [zlib.crc32(g.encode("utf-8", "replace")) & (BUCKETS - 1) for g in grams | {marked}]
 
 
 #: Runs of letters and digits.
@@ -165,25 +169,24 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
 def train(docs: DataFrame, labels: DataFrame, learned: Column, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Model from about ``sample_rows`` of the labelled rows where ``learned`` holds, their whole texts.
 
-    Rows without text or label are left out; ids pick the sample, and only texts and ``toxic`` enter the model.
+    ``learned`` looks at doc_id alone.  Rows without text or label are left out; ids pick the sample, and only texts and
+    ``toxic`` enter the model.
     None unless both labels occur.
     """
-    labelled = (
-        docs.filter(learned)
-        .select("doc_id", "text")
-        .join(labels.select("doc_id", "toxic"), "doc_id")
-        .filter(F.col("text").isNotNull() & F.col("toxic").isin(0, 1))
-    )
-    size = F.sum(F.octet_length("text")).alias("size")
-    found = {r["toxic"]: r for r in labelled.groupBy("toxic").agg(F.count("*").alias("rows"), size).collect()}
+    labelled = labels.select("doc_id", "toxic").filter(learned & F.col("toxic").isin(0, 1))
+    found = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     if set(found) != {0, 1}:
         return None
+    mean = docs.agg(F.avg(F.octet_length("text"))).first()[0] or 1.0
     drawn = F.lit(False)
-    for label, r in found.items():
-        rate = min(1.0, sample_rows / 2 / r["rows"], SAMPLE_BYTES / 2 / max(1, r["size"]))
+    for label, rows in found.items():
+        rate = min(1.0, sample_rows / 2 / rows, SAMPLE_BYTES / 2 / (rows * max(1.0, mean)))
         bucket = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
         drawn = drawn | ((F.col("toxic") == label) & (bucket < int(rate * 1_000_000)))
-    rows = labelled.filter(drawn).select("text", "toxic").limit(2 * sample_rows).collect()
+    # Ids are drawn before texts are fetched: so few that they are sent to every task, and no text is shuffled.
+    chosen = F.broadcast(labelled.filter(drawn).limit(2 * sample_rows))
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    rows = texts.join(chosen, "doc_id").select("text", "toxic").limit(2 * sample_rows).collect()
     targets = np.array([r["toxic"] for r in rows], dtype=np.intp)
     if len(set(targets.tolist())) < 2:
         return None
@@ -196,26 +199,29 @@ class Scorer:
     def __init__(self, model: Model | None):
         self.model = model
         self.pull = model.pull.tolist() if model else []
-        self.known: dict[str, complex] = {}
+        self.known: dict[str, list[complex]] = {}
+        self.older: dict[str, list[complex]] = {}
 
     def _value(self, token: str) -> list[complex]:
         """Sum of pulls (real) and number of subwords (imaginary) of each word in the token."""
         found = []
         for word in words_of(token):
             grams = subwords(word)
-            found.append(complex(sum(self.pull[g] for g in grams), len(grams)))
+            found.append(complex(sum(map(self.pull.__getitem__, grams)), len(grams)))
         return found
 
     def __call__(self, text: str) -> float:
         if self.model is None:
             return 0.0
         if len(self.known) > CACHE:
-            self.known = {}
+            # What is not asked for again while the newer half fills is forgotten.
+            self.known, self.older = {}, self.known
         values = []
         for token in tokens_of(text):
             value = self.known.get(token)
             if value is None:
-                value = self.known[token] = self._value(token)
+                value = self.older.get(token)
+                value = self.known[token] = self._value(token) if value is None else value
             values += value
         if not values:
             return 0.0
