@@ -62,6 +62,31 @@ def test_each_rule(spark, text, failed):
     assert (row["failed"], row["kept"]) == (failed, failed == "")
 
 
+RUSSIAN = "река течёт мимо старого города и в нём живут люди которые не знают друг друга но любят тихие вечера".split()
+ITALIAN = "il fiume scorre lento vicino alla città dove gli abitanti che non dormono parlano di vecchie storie".split()
+
+
+def shuffled(seed, words, times=5):
+    rng = random.Random(seed)
+    return " ".join(w for _ in range(times) for w in rng.sample(words, len(words)))
+
+
+@pytest.mark.parametrize("lang, known", [("ru", True), (None, True), ("en", False), ("en-GB", False)])
+def test_stop_words_are_not_asked_of_other_scripts_and_languages(spark, lang, known):
+    docs = documents(spark, [(1, shuffled(1, RUSSIAN), lang, "s")])
+    row = quality.quality_report(docs).first()
+    assert (row["failed"], row["kept"]) == (("", True) if known else ("stop_word_ratio", False))
+    assert quality.keep_good(docs).count() == known
+
+
+def test_unlabelled_texts_of_a_labelled_language_without_a_list(spark):
+    data = [(i, shuffled(i, ITALIAN), "it", "s") for i in range(5)]
+    words = [f"word{i}" for i in range(90)]
+    data += [(10, shuffled(10, ITALIAN), None, "s"), (11, " ".join(words), None, "s"), (12, " ".join(words), "en", "s")]
+    kept = quality.keep_good(documents(spark, data))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 10]
+
+
 def test_kept_rows_keep_their_columns(spark):
     docs = clashing(documents(spark))
     kept = quality.keep_good(docs)

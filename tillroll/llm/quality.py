@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import settled
@@ -13,17 +13,22 @@ from tillroll.llm.common import settled
 #: Inside a character class: what separates words.
 SPACE = r" \t-\r"
 SYMBOLS = "#*$%&|<>"
+LATIN = r"\p{IsLatin}"
 MIN_WORDS = 50
 #: Percent of the words that may lie in 3-word windows found twice or more.
 MAX_REPEATED = 50
 
-#: Common function words of the languages that the rules know.
+#: Common function words of the languages that the rules know.  Rows labelled with another language are not held to
+#: ``stop_word_ratio``, nor are rows without a label whose letters are mostly not Latin.
 STOP_WORDS = {
     "en": "the of and to in a is that for it as was with be by on not he this are or at from but have an they which",
     "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an er so dass",
     "fr": "de la le et les des en un une du est que qui dans pour par sur au plus ne pas ce il se sont avec à leur",
     "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este es",
 }
+#: Words taken from the corpus for each other language that labels name, for its texts without a label.
+LEARNED_WORDS = 40
+LANG = "lang"
 
 
 @dataclass(frozen=True)
@@ -66,6 +71,34 @@ def _lines_with(pattern: str) -> Column:
     return F.size(F.filter("lines", lambda line: line.rlike(pattern))).cast("long")
 
 
+def _listed() -> Column:
+    """Whether a row's label names a language with stop words, its region left out; null if it names none."""
+    name = F.lower(F.regexp_extract(LANG, "^[A-Za-z]*", 0))
+    return F.when(~name.isin("", "und"), name.isin(sorted(STOP_WORDS)))
+
+
+def learned_stop_words(docs: DataFrame, text: str = "text") -> list[str]:
+    """The words that stand in the most documents of each labelled language without a list, over all documents.
+
+    They are needed for rows without a label alone: no text is read unless some rows have a label without a list and
+    others have none.
+    """
+    if LANG not in docs.columns:
+        return []
+    asked = docs.agg(F.max(~_listed()).alias("other"), F.max(_listed().isNull()).alias("none")).first()
+    if not (asked["other"] and asked["none"]):
+        return []
+    words = docs.filter(~_listed()).select(
+        F.col(LANG).alias("lang"),
+        F.explode(F.array_distinct(F.array_remove(F.split(F.lower(text), f"[{SPACE}]+"), ""))).alias("word"),
+    )
+    # Function words are letters alone, with marks and apostrophes.
+    counted = words.filter(r"word rlike '^[\\p{L}\\p{M}\']+$'").groupBy("lang", "word").count()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
+    most = counted.select("word", place.alias("place")).filter(F.col("place") <= LEARNED_WORDS)
+    return sorted({r["word"] for r in most.collect()})
+
+
 def measures(docs: DataFrame, carried: Sequence[str], text: str = "text", stop_words: Sequence[str] = ()) -> DataFrame:
     """The columns ``carried`` with the counts of the text and the ratios that rules name.
 
@@ -77,9 +110,11 @@ def measures(docs: DataFrame, carried: Sequence[str], text: str = "text", stop_w
     text meet with a chance of n_words squared in 2 to the 65.
     """
     stops = list(stop_words) or sorted({w for words in STOP_WORDS.values() for w in words.split()})
+    lang = F.col(LANG).cast("string") if LANG in docs.columns else F.lit(None).cast("string")
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)]).alias("row")
-    split = docs.select(row, F.coalesce(F.col(text), F.lit("")).alias("text")).select(
+    split = docs.select(row, lang.alias(LANG), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
         "row",
+        LANG,
         "text",
         F.array_remove(F.split("text", f"[{SPACE}]+"), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(f"[^{SPACE}]")).alias("lines"),
@@ -124,6 +159,8 @@ def measures(docs: DataFrame, carried: Sequence[str], text: str = "text", stop_w
         "n_stops": F.size(F.filter("words", lambda word: F.lower(word).isin(stops))).cast("long"),
         "n_bullets": _lines_with(rf"^[{SPACE}]*[-*•‣·]"),
         "n_ellipses": _lines_with(rf"(\.\.\.|…)[{SPACE}]*$"),
+        # Scripts are looked at only where no label tells the language.
+        "stop_words_known": F.coalesce(_listed(), F.lit(2) * _only("text", LATIN) >= _only("text", r"\p{L}")),
     }
     counted = settled(repeated, ["row"], counts)
 
@@ -139,16 +176,25 @@ def measures(docs: DataFrame, carried: Sequence[str], text: str = "text", stop_w
         "bullet_line_ratio": ratio("n_bullets", "n_lines"),
         "ellipsis_line_ratio": ratio("n_ellipses", "n_lines"),
     }
-    return counted.select("row", *_COUNTS, *[value.alias(name) for name, value in ratios.items()])
+    return counted.select("row", "stop_words_known", *_COUNTS, *[value.alias(name) for name, value in ratios.items()])
 
 
 def judged(docs: DataFrame, carried: Sequence[str], rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
-    """``measures`` with base_failed, failed (the metrics of the rules that fail) and kept."""
-    measured = measures(docs, carried, text)
+    """``measures`` with base_failed, failed (the metrics of the rules that fail) and kept.
+
+    A rule on ``stop_word_ratio`` holds only where ``stop_words_known``.
+    """
+    learned = learned_stop_words(docs, text) if any(r.metric == "stop_word_ratio" for r in rules) else []
+    known = {w for words in STOP_WORDS.values() for w in words.split()}
+    measured = measures(docs, carried, text, sorted(known.union(learned)))
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEATED) * F.col("n_words")
     )
-    failed = F.array_compact(F.array(*[F.when(r.failed(), F.lit(r.metric)) for r in rules]))
+
+    def held(rule: Rule) -> Column:
+        return F.col("stop_words_known") & rule.failed() if rule.metric == "stop_word_ratio" else rule.failed()
+
+    failed = F.array_compact(F.array(*[F.when(held(r), F.lit(r.metric)) for r in rules]))
     return measured.withColumns({"base_failed": base_failed, "failed": failed}).withColumn(
         "kept", ~F.col("base_failed") & (F.size("failed") == 0)
     )
