@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from compare import connect, differences
-from corpus import clashing, documents, found, nothing, prose, rows
+from corpus import WORDS, clashing, documents, found, nothing, prose, rows
 from pyspark.sql import functions as F
 
 from tillroll.llm import neardup, quality, queries, syncmers
@@ -174,6 +174,36 @@ def test_shared_passages_match_by_position(spark):
     assert best["matches"] >= 10
 
 
+def unspaced(kind, n):
+    rng = random.Random(n)
+    if kind == "base64":
+        return "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
+    if kind == "code":
+        return "".join(rng.choice(WORDS) + rng.choice("();=_") for _ in range(n // 6))
+    first, last = {"han": (0x4E00, 0x9000), "thai": (0x0E01, 0x0E2E), "kana": (0x3041, 0x3096)}[kind]
+    return "".join(chr(rng.randint(first, last)) for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["han", "thai", "kana", "base64", "code"])
+def test_unspaced_passages_have_their_anchors_at_any_offset(spark, kind):
+    passage, other = unspaced(kind, 900), unspaced(kind, 31)
+    texts = [passage, f"see {passage}"] + [other[:n] + passage for n in (1, 3, 7, 16, 30)]
+    texts += [passage[:5] + other[:1] + passage[5:], passage[:450] + other[:1] + passage[450:]]
+    docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    got = dict(syncmers.anchors(docs, "text", "anchors").select("doc_id", "anchors").collect())
+    assert len(got[0]) > 30
+    for i in range(1, len(texts)):
+        assert len(set(got[0]) & set(got[i])) > 0.8 * len(set(got[0])), i
+
+
+def test_short_lines_of_unspaced_scripts_match_too(spark):
+    lines = [unspaced("han", 12 + i % 4) for i in range(40)]
+    pairs = ["\n".join(lines), "\n".join(["起" + line for line in lines])]
+    docs = documents(spark, [(i, t, "zh", "s") for i, t in enumerate(pairs)])
+    got = dict(syncmers.anchors(docs, "text", "anchors").select("doc_id", "anchors").collect())
+    assert set(got[0]) & set(got[1])
+
+
 def test_fingerprints_need_no_python(spark):
     plan = syncmers.fingerprints(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

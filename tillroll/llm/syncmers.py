@@ -1,8 +1,12 @@
 """Document fingerprints from closed syncmers, and the text that follows in the corpus.
 
-A symbol is a word, or 16 characters of a longer one, from where the word begins.  A window of ``WINDOW`` symbols is an
+A symbol is a word, or one of two halves (16 characters and the rest) of a word of up to 32.  Longer words, and those with
+``RUN`` characters of scripts without spaces in a row, are cut by what they hold instead of by where they begin: every
+character beyond ASCII is a symbol, other symbols end with one of ``ENDS``, and have 16 characters only where nothing ends
+them.  So the cuts of a passage and its copy meet at the first end that both have.  A window of ``WINDOW`` symbols is an
 anchor when the smallest hash of its two-symbol parts lies at its first or last part.  Whether a window is an anchor
-depends on the window alone, so a passage has the same anchors, in the same order, wherever it stands.
+depends on the window alone, so a passage has the same anchors, in the same order, wherever it stands; only the windows
+that reach the word, or stretch without an end, in which it begins or ends may differ.
 """
 
 from __future__ import annotations
@@ -12,7 +16,26 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import saved, settled
 
-SYMBOL = r"[^ \t-\r]{1,16}"
+#: Inside character classes: what separates words, scripts written without spaces, and ASCII characters that end symbols.
+SPACE = r" \t-\r"
+UNSPACED = (
+    r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+    r"\x{3000}-\x{303F}\x{30FC}\x{FF00}-\x{FFEF}"
+)
+ENDS = r"aeuAEOU05!-\-/:-@\[-`{-~"
+RUN = 4
+_BEGINS, _ENDS_HERE = f"(?<![^{SPACE}])", f"(?![^{SPACE}])"
+SYMBOL = "|".join(
+    [
+        # Words: the plain ones first, which is faster; both halves of those of up to 32 characters.
+        f"{_BEGINS}[!-~]{{1,16}}{_ENDS_HERE}",
+        f"{_BEGINS}(?![^{SPACE}]{{0,32}}?[{UNSPACED}]{{{RUN}}})[^{SPACE}]{{1,16}}(?=[^{SPACE}]{{0,16}}{_ENDS_HERE})",
+        f"(?<={_BEGINS}[^{SPACE}{UNSPACED}]{{16}})[^{SPACE}{UNSPACED}]{{1,16}}{_ENDS_HERE}",
+        r"[^\x00-\x7F]",
+        rf"[\x00-\x7F&&[^{SPACE}{ENDS}]]{{0,15}}[{ENDS}]",
+        rf"[\x00-\x7F&&[^{SPACE}]]{{1,16}}",
+    ]
+)
 #: Symbols of a window (k), of which each part has two (s).
 WINDOW = 8
 PARTS = WINDOW - 1
@@ -30,9 +53,8 @@ def anchors(df: DataFrame, text: str, to: str) -> DataFrame:
     """
     inner = ", ".join(f"get(_parts, i + {j})" for j in range(1, PARTS - 1))
     pairs = ", ".join(f"get(_parts, i + {j})" for j in range(0, PARTS, 2))
-    hashed = df.withColumn(
-        "_symbols", F.expr(f"transform(regexp_extract_all(`{text}`, '{SYMBOL}', 0), w -> xxhash64(w))")
-    ).withColumn(
+    symbols = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(SYMBOL), F.lit(0))
+    hashed = df.withColumn("_symbols", F.transform(symbols, lambda w: F.xxhash64(w))).withColumn(
         "_parts",
         F.expr(
             "transform(slice(_symbols, 1, greatest(size(_symbols) - 1, 0)), (h, i) -> xxhash64(h, get(_symbols, i + 1)))"
