@@ -7,10 +7,11 @@ it reads as a path, and the words around it.  It is trained from labelled findin
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,12 +21,32 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import record_batch, saved, small_batches, texts_of
 
-#: Private key blocks, and runs that could be a key, if ``LEAST`` characters are left without the signs at their end.
-#: The patterns here take time in proportion to a text, whatever it holds.
+#: Private key blocks, with header lines or without, and runs that could be a key, if ``LEAST`` characters are left without
+#: the signs at their end.  The patterns here take time in proportion to a text, whatever it holds.
 CANDIDATE = re.compile(
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,._()\\]++|-(?!----))++-----END [A-Z ]{0,40}PRIVATE KEY-----"
     r"|[A-Za-z0-9_+/=.~:@%-]{16,}"
 )
+#: Where a value may be given to a name; names that tell of a secret, with what may stand between them and the sign.
+_GIVEN = re.compile(r"[=:]")
+_TELLING = re.compile(
+    r"(?:token|secret|key|api|passw|passphrase|pwd|auth|bearer|credential|access|private)[A-Za-z0-9_-]{0,24}[\"'`\])]{0,2}"
+    r"(?:[ \t]{0,4}:[ \t]{0,4}[A-Za-z]{1,16})?[ \t]{0,8}$",
+    re.IGNORECASE,
+)
+#: Characters before the sign that ``_TELLING`` sees.
+NAME = 80
+#: The given value: quoted, whatever it holds, or up to the next white space.
+_VALUE = re.compile(
+    r"[=>]?[ \t]*+(?:(?:bearer|basic|token)[ \t]++)?"
+    r"(?:\"((?:[^\"\\\r\n]++|\\.)++)\"|'((?:[^'\\\r\n]++|\\.)++)'|`([^`\r\n]++)`|[\"'`]?((?:[^\s\"'`:]++|:(?!//))++))",
+    re.IGNORECASE,
+)
+#: The password of a URL's user; what a value that is not quoted does not end with; the next name of a URL's query.
+_URL = re.compile(r"://[^\s/@:\"'<>]*+:([^\s/@\"'<>]++)@")
+_TAIL = ".,;:)]}>"
+_QUERY = re.compile(r"&[A-Za-z_][A-Za-z0-9_.-]{0,63}=")
+_PART = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]{0,63}[=:](?=[^=/:])")
 LEAST = 16
 #: Characters before and after a candidate that its features see.
 CONTEXT = 64
@@ -58,11 +79,16 @@ DICTIONARY = sorted(
 _WORDS = re.compile("|".join(w for w in DICTIONARY if len(w) > 2), re.IGNORECASE)
 _NEIGHBOURS = re.compile(r"[A-Za-z]+")
 _PATH = re.compile(r"^(?:[a-z]+:)?/|[\w-]/[\w-]+/|\.(?:[a-z]{2,4})(?:$|[/:])|@|://")
+_BASE64 = re.compile(r"^(?=.*[A-Z])(?=.*[a-z])(?=.*[0-9])[A-Za-z0-9+/]{20,}={0,2}$")
+_USER = re.compile(r"://[^\s/@:]*:$")
+#: A number, or words in one case or with a capital, and what stands for a value that is elsewhere.
+_WORD = re.compile(r"^(?:[A-Z]?[a-z]+|[A-Z]+|[0-9.,:-]+)(?:[ _-](?:[A-Z]?[a-z]+|[A-Z]+|[0-9.,:-]+))*+[.,;:!?]?$")
+_CODE = re.compile(r"^[$%{<\[(]|\(|\[|^[A-Za-z_]+(?:\.[A-Za-z_]+)+$|\*\*|xxx|\.\.\.", re.IGNORECASE)
 _UUID = re.compile(r"^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
 
 FEATURES = (
     "length hex digits upper lower signs transitions entropy distinct longest_alpha_run coverage path uuid prefix "
-    "block assigned quoted near far known_word_before"
+    "block assigned quoted near far known_word_before url_password plain_word code_name"
 ).split()
 
 
@@ -75,13 +101,70 @@ class Finding:
     after: str
 
 
-def findings(text: str) -> Iterator[tuple[int, Finding]]:
-    """Candidates of the whole text, with the place of their first character."""
+def _values(text: str) -> list[tuple[int, int]]:
+    """Spans of values of any length: given to a telling name by = or :, and passwords in URLs."""
+    found, at = [], 0
+    for m in _GIVEN.finditer(text):
+        sign = m.start()
+        if sign < at or not _TELLING.search(text[max(0, sign - NAME) : sign]):
+            continue
+        value = _VALUE.match(text, sign + 1)
+        if value is None:
+            continue
+        a, b = value.span(value.lastindex)
+        # Of URLs, their own passwords and values count.
+        if text.startswith("//", a) or text.startswith("://", b) or "://" in value.group(value.lastindex):
+            continue
+        if value.lastindex == 4:
+            b = a + len(_QUERY.split(text[a:b], maxsplit=1)[0].rstrip(_TAIL))
+        if a < b:
+            found.append((a, b))
+            at = b
+    found += [m.span(1) for m in _URL.finditer(text)] if "://" in text else []
+    return sorted(found)
+
+
+def _spans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of all candidates, in order and apart: key blocks, then given values, then what is left of the runs."""
+    blocks: list[tuple[int, int]] = []
+    runs: list[tuple[int, int]] = []
     for m in CANDIDATE.finditer(text):
-        value = m.group() if m.group().startswith("-----BEGIN ") else m.group().rstrip(".:@%")
-        if len(value) >= LEAST:
-            a, b = m.start(), m.start() + len(value)
-            yield a, Finding(value, text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT])
+        (blocks if m.group().startswith("-----BEGIN ") else runs).append(m.span())
+    taken: list[tuple[int, int]] = []
+    whole = set(blocks)
+    for a, b in heapq.merge(blocks, _values(text)):
+        if not taken or a >= taken[-1][1]:
+            taken.append((a, b))
+        elif (a, b) in whole:
+            # A value that begins a block is the block.
+            taken[-1] = (taken[-1][0] if taken[-1] in whole else a, max(b, taken[-1][1]))
+    left, i = [], 0
+    for a, b in runs:
+        while i < len(taken) and taken[i][1] <= a:
+            i += 1
+        j = i
+        while j < len(taken) and taken[j][0] < b:
+            left.append((a, taken[j][0]))
+            a = max(a, taken[j][1])
+            j += 1
+        left.append((a, b))
+    yield from heapq.merge(taken, (span for a, b in left for span in _named(text, a, b)))
+
+
+def _named(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """The span of a run without the signs at its end and without the name it begins with, if it is long enough."""
+    b = a + len(text[a:b].rstrip(".:@%"))
+    name = _PART.match(text, a, b)
+    if name and b - name.end() >= LEAST:
+        a = name.end()
+    if b - a >= LEAST:
+        yield a, b
+
+
+def findings(text: str) -> Iterator[tuple[int, Finding]]:
+    """Candidates of the whole text, with the place of their first character; none overlap."""
+    for a, b in _spans(text):
+        yield a, Finding(text[a:b], text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT])
 
 
 def _kind(c: str) -> int:
@@ -114,6 +197,9 @@ def features(f: Finding) -> list[float]:
         sum(w in NEAR for w in words + after),
         sum(w in FAR for w in words + after),
         bool(words) and words[-1] in NEAR,
+        _USER.search(f.before) is not None and f.after[:1] == "@",
+        _WORD.match(v) is not None,
+        _CODE.search(v) is not None,
     ]
 
 
@@ -186,9 +272,14 @@ def seed_label(f: Finding) -> int | None:
     x = dict(zip(FEATURES, features(f)))
     if x["block"] or x["prefix"] and x["entropy"] > 3 and not x["coverage"]:
         return 1
+    named = x["known_word_before"] and x["assigned"] or x["url_password"]
+    if x["path"] and (x["url_password"] or _URL.search(f.value) or _BASE64.match(f.value)):
+        return None
+    if named and x["signs"] and not (x["uuid"] or x["plain_word"] or x["code_name"]):
+        return None
     if x["path"] or x["uuid"] or x["digits"] == 1 or x["digits"] == 0 or x["coverage"] > 0.5 or x["entropy"] < 2.5:
         return 0
-    mixed = x["digits"] > 0.1 and x["entropy"] > 3 and x["transitions"] > 0.15
+    mixed = x["digits"] > 0.1 and x["entropy"] > 3 and x["transitions"] > 0.15 and not x["code_name"]
     if mixed and x["known_word_before"] and x["assigned"]:
         return 1
     if mixed and x["far"] and not x["near"]:
@@ -196,11 +287,31 @@ def seed_label(f: Finding) -> int | None:
     return None
 
 
+#: Signs of a password that a URL writes in another way.
+_NO_URL = str.maketrans(dict.fromkeys("/@:'\"<> ", "~"))
+
+
+def made_password(rng: np.random.Generator, pick: Callable, text: Callable) -> str:
+    """Random characters with signs, or words with letters changed or with digits and signs, of 8 to 20 characters."""
+    letters, digits, signs = "abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ", "0123456789", "!$#%&*@^?-+"
+    kind = int(rng.integers(4))
+    if kind == 0:
+        whole = text(letters + digits + signs, int(rng.integers(6, 16))) + text(digits, 1) + text(signs, 1)
+        return "".join(whole[i] for i in rng.permutation(len(whole)))
+    if kind == 1:
+        return text(letters + digits, int(rng.integers(7, 18))) + text(digits, 1)
+    syllables = "".join(pick(["tra", "bo", "dor", "mi", "su", "nel", "ka", "per", "win", "gol"]) for _ in range(int(rng.integers(2, 5))))
+    if kind == 2:
+        return syllables.capitalize().replace("o", "0").replace("a", "4") + text(digits, 2)
+    return syllables.capitalize() + text(digits, int(rng.integers(2, 5))) + text(signs, 1)
+
+
 def examples(contexts: Sequence[str], count: int) -> list[tuple[Finding, int]]:
     """Labelled findings of every usual kind, written into words of the corpus.
 
-    Secrets: random keys of several alphabets and lengths after a telling word, with and without quotes, and keys of
-    public formats anywhere.  Others: hashes, identifiers, paths, numbers, names and placeholders.
+    Secrets: random keys of several alphabets and lengths, and passwords, after a telling word, with and without quotes
+    and spaces; passwords in URLs; key blocks; and keys of public formats anywhere.  Others: hashes, identifiers, paths,
+    numbers, names, words, code and placeholders.
     """
     rng = np.random.default_rng(1)
     hexed, plain = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -219,7 +330,31 @@ def examples(contexts: Sequence[str], count: int) -> list[tuple[Finding, int]]:
         key = key.upper() if rng.random() < 0.15 else key
         join = pick(["_", "-", ".", ""])
         name = join.join(pick(words) for _ in range(4))
+        password, word, given = made_password(rng, pick, text), pick(words), pick(["=", " = ", ": ", ":", " := "])
+        quote = pick(["'", '"', "`"])
+        telling = pick(near) if rng.random() < 0.5 else f"{word}_{pick(near)}"
+        telling = telling.upper() if rng.random() < 0.3 else telling
+        slashed = f"{text(plain, 9)}/{text(plain, 12)}/{text(plain + '+/', 19)}"
+        # Each kind of value that is no secret stands where secrets do.
+        unlike = pick(
+            [
+                word, f"{word} {pick(words)} {pick(words)}", f"{word}_{pick(words)}", f"{word}.{pick(words)}", f"${{{word.upper()}}}",
+                f"<{word}>", f"your-{word}", f"{word}({word})", str(int(rng.integers(1, 10**6))), f"os.environ['{word}']",
+                f"{word.capitalize()}", f"/{word}/{pick(words)}", f"${word.upper()}", "********", f"{word},", "xxxxxxxx",
+                f"https://{pick(words)}.com/{word}", f"20{text('012', 1)}{text('0123456789', 1)}-0{text('123456789', 1)}-1{text('0123456789', 1)}",
+            ]
+        )
+        block = pick(["RSA ", "EC ", "", "OPENSSH "]) + "PRIVATE KEY-----"
+        header = pick(["", f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{text(hexed.upper(), 32)}\n\n"])
         other, label = [
+            (f"{telling}{given}{quote}|{password}|{quote}", 1),
+            (f"{telling}{pick(['=', ': ', ':'])}|{password}|\n", 1),
+            (f"{word}://{pick(words)}:|{pick([password.translate(_NO_URL), key.replace('/', '')])}|@{pick(words)}.com/{word}", 1),
+            (f"{telling}{given}{pick(['', quote])}|{pick([slashed, key])}|{pick([quote, ' '])}", 1),
+            (f"{pick(near)}{given}{quote}|{unlike}|{quote}", 0),
+            (f"{pick(near)}{given}|{unlike.split(' ')[0]}| ", 0),
+            (f"|-----BEGIN {block}\n{header}{text(plain, 64)}\n{text(plain, 50)}==\n-----END {block}|\n", 1),
+            (f"{word}: |{pick(words)}/{text(plain, 2)}/{pick(words)}.{pick(words)}| ", 0),
             (f'{pick(near)} = "|{key}|"', 1),
             (f"{pick(near)}: |{key}| ", 1),
             (f"{pick(near).upper()} = '|{key.upper() if i % 2 else key}|'", 1),
@@ -230,7 +365,7 @@ def examples(contexts: Sequence[str], count: int) -> list[tuple[Finding, int]]:
             (f"{pick(near)} = |your_{name}_here| ", 0),
             (f"|{text('0123456789', pick([16, 19, 20]))}| ", 0),
             (f"|{name + name}{int(rng.integers(100))}| ", 0),
-        ][i % 10]
+        ][i % 18]
         before, value, after = other.split("|")
         left, right = around[: len(around) // 2], around[len(around) // 2 :]
         found.append((Finding(value, f"{left} {before}"[-CONTEXT:], f"{after} {right}"[:CONTEXT]), label))
