@@ -222,3 +222,46 @@ def test_small_sources_share_a_queue(spark, monkeypatch):
     pieces = packing.pack(documents(spark, data), BYTES, end=0).collect()
     checked_pieces(pieces, data)
     assert {p["queue"] for p in pieces} == {0, 1, 2}
+
+
+def given_first(pieces, sequences):
+    """Tokens of each queue in the first sequences."""
+    first = Counter()
+    for p in pieces:
+        if p["sequence_id"] < sequences:
+            first[p["queue"]] += p["length"]
+    return first
+
+
+@pytest.mark.parametrize("tiny", [None, "c"])
+def test_a_tiny_source_takes_no_weight_away(spark, tiny):
+    data = [(i, prose(i, 300), "en", "aabab"[i % 5]) for i in range(60)] + [(60, "", "en", tiny)]
+    weights = {"a": 0.5, "b": 0.5}
+    pieces = packing.pack(documents(spark, data), BYTES, 0, window_sequences=2, weights=weights).collect()
+    checked_pieces(pieces, data)
+    assert sorted(given_first(pieces, 8).values()) == [4096, 4096]
+    # The tiny source has no weight: it comes after all others.
+    assert [p["sequence_id"] for p in pieces if p["doc_id"] == 60] == [max(p["sequence_id"] for p in pieces)]
+
+
+def test_small_sources_keep_their_weights(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_QUEUES", 3)
+    # The sources with weights are smaller than all others, and more than MOST_QUEUES.
+    data = [(i, prose(i, 260 if i % 9 < 5 else 300), "en", f"s{i % 9}") for i in range(180)]
+    weights = {f"s{i}": 1 for i in range(5)}
+    pieces = packing.pack(documents(spark, data), BYTES, 0, window_sequences=2, weights=weights).collect()
+    checked_pieces(pieces, data)
+    first = given_first(pieces, 10)
+    assert len(first) == 5 and all(abs(n - 2048) <= 1 for n in first.values())
+
+
+def test_over_256_sources_with_weights(spark):
+    data = [(i, prose(i, 12), "en", f"s{i % 300}") for i in range(900)]
+    weights = {f"s{i}": 1 + (i == 299) for i in range(300)}
+    pieces = packing.pack(documents(spark, data), BYTES, 0, window_sequences=2, weights=weights).collect()
+    checked_pieces(pieces, data)
+    first = given_first(pieces, 2)
+    queue = {p["doc_id"] % 300: p["queue"] for p in pieces}
+    assert len(set(queue.values())) == 300
+    assert abs(first[queue[299]] - 2 * 2048 / 301) <= 1
+    assert all(abs(first[queue[i]] - 2048 / 301) <= 1 for i in range(299))

@@ -29,7 +29,8 @@ from tillroll.llm.pretokens import pre_tokens
 SEQUENCE = 1024
 #: Sequences of a window: the mixture holds in every run of so many.
 WINDOW_SEQUENCES = 64
-#: Queues; the smallest sources beyond so many share the last one, as do those below one token in a window.
+#: Queues; the smallest sources beyond so many share the last one, as do those below one token in a window.  A source with
+#: a weight always has its own.
 MOST_QUEUES = 256
 #: Documents that a task numbers together, at most so many groups of them.
 BUCKET_DOCS = 400
@@ -155,19 +156,31 @@ def _id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def _queues(tokens: DataFrame, window: int) -> tuple[list[str | None], list[int]]:
-    """Sources with a queue of their own, largest first, and the tokens of every queue; the last may be for the rest."""
+def _queues(
+    tokens: DataFrame, window: int, weights: Mapping[str, float] | None = None
+) -> tuple[list[str | None], list[int]]:
+    """Sources with a queue of their own, largest first, and the tokens of every queue; the last takes the rest.
+
+    With weights, each source that has one comes first, whatever its size, and what is left of the rest has a queue of
+    its own.
+    """
     by_source = tokens.groupBy("source").agg(F.sum("n").alias("n"))
     whole = by_source.agg(F.sum("n")).first()[0] or 0
-    top = by_source.orderBy(F.desc("n"), "source").limit(MOST_QUEUES - 1).collect()
-    own = [r for r in top if r["n"] * window >= whole]
+    named, others = [], by_source
+    if weights is not None:
+        asked = [s for s, w in weights.items() if w and s is not None]
+        weighted = F.coalesce(F.col("source").isin(asked), F.lit(False)) if asked else F.lit(False)
+        weighted = weighted | F.col("source").isNull() if weights.get(None) else weighted
+        named = by_source.filter(weighted).orderBy(F.desc("n"), "source").collect()
+        others = by_source.filter(~weighted)
+    top = others.orderBy(F.desc("n"), "source").limit(max(0, MOST_QUEUES - 1 - len(named))).collect()
+    own = named + [r for r in top if r["n"] * window >= whole]
     totals = [r["n"] for r in own]
     rest = whole - sum(totals)
-    if rest and (rest * window >= whole or not totals):
+    if rest and (weights is not None or rest * window >= whole or not totals):
         totals.append(rest)
     elif rest:
-        # Too few for a token in every window: they join the smallest queue of its own.
-        own.pop()
+        # Too few for a token in every window: they join the smallest queue, which keeps its source.
         totals[-1] += rest
     return [r["source"] for r in own], totals
 
@@ -193,7 +206,7 @@ def pack(
     spark = docs.sparkSession
     tokens = saved(_tokens(docs, tokenizer, end), "tokens")
     window = sequence * window_sequences
-    own, totals = _queues(tokens, window)
+    own, totals = _queues(tokens, window, weights)
     if not totals:
         return spark.createDataFrame([], PIECES)
     shares = None
