@@ -91,6 +91,16 @@ def test_toxicity_of_held_out_documents(spark):
     assert np.mean([r["predicted"] == r["toxic"] for r in held]) > 0.95
 
 
+def test_rates_below_a_millionth_draw_rows(spark):
+    words = F.when(F.col("id") % 700_000 == 5, F.lit("die stille Wolke")).otherwise(F.lit("the quiet cloud"))
+    many = spark.range(2_100_000).select(F.col("id").alias("doc_id"), words.alias("text"))
+    lang = F.when(F.col("text").startswith("die"), "de").otherwise("en")
+    model = language.train(many.withColumn("lang", lang), F.lit(True), 4)
+    assert model is not None and model.languages == ("de", "en")
+    labels = many.select("doc_id", F.col("text").startswith("die").cast("int").alias("toxic"))
+    assert toxicity.train(many, labels, F.lit(True), 2) is not None
+
+
 def test_toxicity_generalizes_to_misspellings():
     texts = [f"{prose(i, 10 + i % 50)} {'gobbledork' if i % 2 else ''} {prose(-i, 40)}" for i in range(300)]
     scorer = toxicity.Scorer(toxicity.fit(texts, np.arange(300) % 2))

@@ -56,6 +56,17 @@ def crc32_of(key: str) -> Column:
     return F.crc32(F.col(key).cast("string"))
 
 
+def least_hash(key: str) -> Column:
+    """Aggregate: the least of the hashes that ``drawn_at`` compares."""
+    return F.min(F.xxhash64(key))
+
+
+def drawn_at(rate: float, least: int, key: str) -> Column:
+    """Whether the hash of ``key`` draws a row: a share ``rate`` of all 64-bit hashes, and always the least one."""
+    bound = min((1 << 63) - 1, int(rate * 2**64) - (1 << 63))
+    return F.xxhash64(key) <= F.lit(max(bound, least))
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded rows and text bytes, so that memory does not follow Spark's batch size."""
     for batch in batches:

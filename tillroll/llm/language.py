@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import crc32_of, record_batch, small_batches, texts_of
+from tillroll.llm.common import crc32_of, drawn_at, least_hash, record_batch, small_batches, texts_of
 
 #: Labelled rows that the classifiers are fitted on, dealt evenly to the languages.
 SAMPLE_ROWS = 2400
@@ -152,20 +152,23 @@ def train(docs: DataFrame, learned: Column, sample_rows: int = SAMPLE_ROWS) -> M
     Only text and lang enter the model; ids pick the sample.  Languages are counted over all rows.  None without rows.
     """
     labelled = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    found = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("count"), least_hash("doc_id").alias("least"))
+    found = counted.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not found:
         return None
     quota = max(2, sample_rows // len(found))
     drawn = F.lit(False)
     for r in found:
-        rate = int(min(1.0, quota / r["count"]) * 1_000_000)
-        drawn = drawn | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < rate))
+        rate = min(1.0, quota / r["count"])
+        drawn = drawn | ((F.col("lang") == r["lang"]) & drawn_at(rate, r["least"], "doc_id"))
     rows = _vectors(labelled.filter(drawn).select("lang", "text")).limit(4 * sample_rows + 4 * len(found)).collect()
     if not rows:
         return None
     vectors = np.stack([np.frombuffer(r["vector"], np.uint8) for r in rows]).astype(np.float32)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     languages = tuple(sorted({r["lang"] for r in rows}))
+    if missing := sorted({r["lang"] for r in found} - set(languages)):
+        raise ValueError(f"no sampled row of languages that rows are labelled with: {missing}")
     return fit(vectors, np.array([languages.index(r["lang"]) for r in rows]), languages)
 
 

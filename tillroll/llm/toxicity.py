@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import crc32_of, record_batch, small_batches, texts_of
+from tillroll.llm.common import crc32_of, drawn_at, least_hash, record_batch, small_batches, texts_of
 
 #: Labelled rows that the model is fitted on, half of each label if there are enough, and bytes of their texts.
 SAMPLE_ROWS = 2400
@@ -174,19 +174,23 @@ def train(docs: DataFrame, labels: DataFrame, learned: Column, sample_rows: int
     None unless both labels occur.
     """
     labelled = labels.select("doc_id", "toxic").filter(learned & F.col("toxic").isin(0, 1))
-    found = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    counted = labelled.groupBy("toxic").agg(F.count("*").alias("count"), least_hash("doc_id").alias("least"))
+    found = {r["toxic"]: (r["count"], r["least"]) for r in counted.collect()}
     if set(found) != {0, 1}:
         return None
     mean = docs.agg(F.avg(F.octet_length("text"))).first()[0] or 1.0
     drawn = F.lit(False)
-    for label, rows in found.items():
+    for label, (rows, least) in found.items():
         rate = min(1.0, sample_rows / 2 / rows, SAMPLE_BYTES / 2 / (rows * max(1.0, mean)))
-        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-        drawn = drawn | ((F.col("toxic") == label) & (bucket < int(rate * 1_000_000)))
+        drawn = drawn | ((F.col("toxic") == label) & drawn_at(rate, least, "doc_id"))
     # Ids are drawn before texts are fetched: so few that they are sent to every task, and no text is shuffled.
     chosen = F.broadcast(labelled.filter(drawn).limit(2 * sample_rows))
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
     rows = texts.join(chosen, "doc_id").select("text", "toxic").limit(2 * sample_rows).collect()
+    for label in {0, 1} - {r["toxic"] for r in rows}:
+        # None of the drawn rows has a text: only rows with one, by the order of the same hash.
+        own = texts.join(labelled.filter(F.col("toxic") == label), "doc_id")
+        rows += own.orderBy(F.xxhash64("doc_id")).limit(max(1, sample_rows // 2)).select("text", "toxic").collect()
     targets = np.array([r["toxic"] for r in rows], dtype=np.intp)
     if len(set(targets.tolist())) < 2:
         return None
