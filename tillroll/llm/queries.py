@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
     bpe,
+    contamination,
     language,
     neardup,
     packing,
     quality,
     secrets,
+    statements as added,
     syncmers,
     token_counts,
     token_files,
@@ -73,6 +75,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf_dir))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -87,6 +93,7 @@ def all_queries() -> dict[str, Query]:
             op8_near_duplicates,
             op9_toxicity,
             op10_fingerprints,
+            op13_decontamination,
         )
     }
 
@@ -148,4 +155,4 @@ FROM judged"""
 
 
 def statements() -> dict[str, str]:
-    return {"op1_quality_rules": _op1_statement()}
+    return {"op1_quality_rules": _op1_statement()} | added.statements()
