@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.llm import (
     bpe,
     contamination,
+    conversations,
     language,
     neardup,
+    negatives,
     packing,
     quality,
     secrets,
@@ -75,6 +77,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -93,6 +103,8 @@ def all_queries() -> dict[str, Query]:
             op8_near_duplicates,
             op9_toxicity,
             op10_fingerprints,
+            op11_conversation_repair,
+            op12_hard_negatives,
             op13_decontamination,
         )
     }
