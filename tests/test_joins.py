@@ -93,3 +93,19 @@ def test_a_hot_key_reaches_many_tasks(spark, skewed, facts, condition):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert spread < plain / 2
+
+
+def test_hot_keys_where_tasks_have_nothing_to_merge(spark, skewed):
+    """As on a cluster with more shuffle partitions than tasks have groups."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "50"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert set(hot_keys(skewed, "key", share=0.1, min_rows=100)[0]) == {7, None}
+        nulls = skewed.withColumn("key", F.lit(None).cast("string"))
+        assert hot_keys(nulls, "key", min_rows=100) == ({None: 1.0},)
+        assert hot_keys(skewed.limit(0), "key", "payload") == ({}, {})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

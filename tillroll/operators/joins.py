@@ -41,20 +41,21 @@ def hot_keys(
     most = max(1, int(1 / share))
     tracked = min(_MOST_TRACKED, max(_LEAST_TRACKED, 4 * most))
     most = min(most, tracked)
-    if df.isEmpty():
-        return tuple({} for _ in keys)
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(1024)).alias("task_group")).agg(
         F.count("*").alias("rows"),
         *[F.expr(f"approx_top_k_accumulate(`{k}`, {tracked}) as sketch_{i}") for i, k in enumerate(keys)],
     )
-    whole = sketches.agg(
+    # Grouped by a constant: a task without any sketch has nothing to merge, where a plain total would merge an untyped one.
+    whole = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.sum("rows").alias("rows"),
         *[F.expr(f"approx_top_k_combine(sketch_{i}, {tracked}) as sketch_{i}") for i in range(len(keys))],
     )
     found = whole.select(
         "rows", *[F.expr(f"approx_top_k_estimate(sketch_{i}, {most})") for i in range(len(keys))]
     ).first()
-    rows, tops = found[0] or 0, found[1:]
+    if found is None:
+        return tuple({} for _ in keys)
+    rows, tops = found[0], found[1:]
     least = max(min_rows, rows * share)
     return tuple({top["item"]: top["count"] / rows for top in top_k or [] if top["count"] >= least} for top_k in tops)
 
