@@ -1,11 +1,13 @@
 from datetime import date
 
+import pytest
 from frames import raw
 from pyspark.sql import functions as F
 
 from tillroll.operators import quality
 from tillroll.plans.retail import Retail, refresh
 from tillroll.rules import NOT_NULL, UNIQUE
+from tillroll.sources import tables
 
 KEYS = {
     "raw_products": "source_product_id",
@@ -110,6 +112,43 @@ def test_a_hot_order_keeps_its_table_unbucketed(spark):
     refresh(spark, lambda name: clean(spark, name), date(2024, 7, 1), 4, find_hot).collect()
 
     def is_bucketed(table):
-        return any(c.isBucket for c in spark.catalog.listColumns(table))
+        return any(c.isBucket for c in spark.catalog.listColumns(tables.current_version(spark, table)))
 
     assert is_bucketed("staging.stg_orders") and not is_bucketed("staging.stg_order_items")
+
+
+def test_a_failed_check_leaves_all_tables_as_they_were(spark):
+    day = date(2024, 7, 1)
+    refresh(spark, lambda name: clean(spark, name), day)
+    versions = {n: tables.current_version(spark, f"transform.{n}") for n in UNIQUE if n.startswith("transform_")}
+    tables_before = {t.name for t in spark.catalog.listTables("transform")}
+
+    def worse(name):
+        df = clean(spark, name)
+        return df.unionByName(df.limit(1)) if name == "raw_customers" else df.limit(3)
+
+    with pytest.raises(quality.ChecksFailed, match="stg_customers.source_customer_id unique: 1 failures"):
+        refresh(spark, worse, day)
+    assert {n: tables.current_version(spark, f"transform.{n}") for n in versions} == versions
+    assert {t.name for t in spark.catalog.listTables("transform")} == tables_before
+    assert {spark.table(f"transform.{n}").count() for n in versions} == {5}
+    # Without the gate the failures are reported and the rows are there.
+    got = results(refresh(spark, worse, day, gate=False))
+    assert got["stg_customers", "source_customer_id", "unique"] == 1
+    assert spark.table("transform.transform_customers").count() == 6
+
+
+def test_a_failed_model_leaves_all_tables_as_they_were(spark):
+    day = date(2024, 7, 1)
+    refresh(spark, lambda name: clean(spark, name), day)
+    before = tables.current_version(spark, "staging.stg_products")
+
+    def broken(name):
+        if name != "raw_transactions":
+            return clean(spark, name).limit(2)
+        return clean(spark, name).withColumn("amount", F.raise_error(F.lit("lost")).cast("double"))
+
+    with pytest.raises(Exception, match="lost"):
+        refresh(spark, broken, day).collect()
+    assert tables.current_version(spark, "staging.stg_products") == before
+    assert spark.table("transform.transform_orders").count() == 5

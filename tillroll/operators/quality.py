@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -42,6 +42,20 @@ def check_model(df: DataFrame, model: str) -> DataFrame:
     return totals.selectExpr(f"'{model}' as model", f"inline(array({rows}))")
 
 
+class ChecksFailed(ValueError):
+    """Declared checks that have failures: (model, column, test, failures)."""
+
+    def __init__(self, failed: list[tuple[str, str, str, int]]):
+        self.failed = failed
+        super().__init__("; ".join(f"{model}.{column} {test}: {n} failures" for model, column, test, n in failed))
+
+
+def require(results: Iterable[tuple[str, str, str, int]]) -> None:
+    """An error that names every check with failures."""
+    if failed := [tuple(r) for r in results if r[3]]:
+        raise ChecksFailed(failed)
+
+
 def suite(models: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared check of the given models."""
     return reduce(DataFrame.unionAll, [check_model(df, name) for name, df in models.items()])

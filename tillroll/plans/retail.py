@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.operators import customers, order_items, orders, products, quality, transactions
 from tillroll.operators.joins import Hot, hot_keys
 from tillroll.operators.staging import STAGES
-from tillroll.sources.tables import materialize
+from tillroll.sources.tables import Version, discard, switch, write_version
 
 ORDER_KEY = "source_order_id"
 PRODUCT_KEY = "source_product_id"
@@ -99,29 +99,46 @@ class Retail:
 BY_ORDER = ("stg_orders", "stg_order_items", "stg_transactions")
 
 
+CHECKED = "model string, column string, test string, failures long"
+
+
 def refresh(
     spark: SparkSession,
     raw: Callable[[str], DataFrame],
     as_of: date | None = None,
     buckets: int = 0,
     find_hot: Callable[..., tuple[Hot, ...]] = hot_keys,
+    gate: bool = True,
 ) -> DataFrame:
     """Write the ten models as tables and return the results of their column checks.
 
-    Each model reads the written tables of the models before it, so a lost executor costs
-    tasks of one model only, and nothing is computed twice.
+    Each model reads the written versions of the models before it, so a lost executor costs
+    tasks of one model only, and nothing is computed twice.  Readers see the new rows of all ten
+    once all are written and all declared checks pass; a failed write, or a failed check
+    (``quality.ChecksFailed``) unless ``gate`` is off, leaves all ten tables as they were.
 
     With ``buckets``, the order-keyed staged tables are written bucketed by order: the
     groupings and joins of the order models then need no shuffle of them.  A table with a
     hot order stays unbucketed, since one task reads one bucket.
     """
+    versions: list[Version] = []
 
     def written(name: str, df: DataFrame) -> DataFrame:
-        if name not in STAGES:
-            return materialize(df, "transform", name)
+        table = f"{'staging' if name in STAGES else 'transform'}.{name}"
+        layout = {}
         if buckets and name in BY_ORDER and not find_hot(df, ORDER_KEY)[0]:
-            return materialize(df, "staging", name, cluster_by=[ORDER_KEY], buckets=buckets)
-        return materialize(df, "staging", name)
-
-    models = Retail(raw, as_of or date.today(), find_hot, written)
-    return quality.suite(models.all())
+            layout = {"cluster_by": [ORDER_KEY], "buckets": buckets}
+        versions.append(write_version(df, table, **layout))
+        return versions[-1].frame
+
+    try:
+        results = quality.suite(Retail(raw, as_of or date.today(), find_hot, written).all()).collect()
+        if gate:
+            quality.require(results)
+    except Exception:
+        for version in versions:
+            discard(version)
+        raise
+    for version in versions:
+        switch(version)
+    return spark.createDataFrame(results, CHECKED)
