@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import quotient
+from tillroll.sources.tables import shared_dir
 
 SAMPLE_ROWS = 10
 TOP_STATES = 10
@@ -50,44 +53,70 @@ def counts_by_value(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows")).orderBy(column)
 
 
-def exact_median(df: DataFrame, amount: str) -> float | None:
-    """Exact median of a money column, the mean of the two middle values for an even count.
+def counted_cents(df: DataFrame, amount: str) -> DataFrame:
+    """Rows per value of a money column in cents, NULL included: (cents, rows), written once and read again.
 
-    Each pass counts the rows of at most ``MEDIAN_BANDS`` bands of the range that holds the middle,
-    and the next pass divides that band, until a band is one cent wide: three passes for totals
-    up to 160,000, six for the full width of DECIMAL(18,2).  No pass sorts or holds more than the bands.
+    The plan of ``df`` runs once, whatever is then asked of the counts, and its rows combine before the shuffle.
     """
-    cents = (F.col(amount) * 100).cast("bigint")
-    known = df.filter(F.col(amount).isNotNull()).select(cents.alias("cents"))
-    total, least, most = known.agg(F.count("*"), F.min("cents"), F.max("cents")).first()
+    counted = df.groupBy((F.col(amount) * 100).cast("bigint").alias("cents")).agg(F.count("*").alias("rows"))
+    path = f"{shared_dir(df.sparkSession)}/cents/{uuid4().hex}"
+    counted.write.parquet(path)
+    return df.sparkSession.read.schema("cents long, rows long").parquet(path)
+
+
+def middle(counted: DataFrame) -> tuple[int, int] | None:
+    """The two middle values, which are one for an odd number of rows, of (cents, rows); None without a value.
+
+    Both are looked for in the same descent.  A pass counts at most ``MEDIAN_BANDS`` bands of the range that holds them, with the
+    least and the most value of each; the next pass divides the band that holds both.  Where they lie in two bands they are the
+    most value of the one and the least of the other.  Nothing is sorted or held but the bands: two passes for a range of
+    16 million cents, six for the full width of DECIMAL(18,2).
+    """
+    known = counted.filter(F.col("cents").isNotNull())
+    total, low, high = known.agg(F.sum("rows"), F.min("cents"), F.max("cents")).first()
     if not total:
         return None
+    ranks, before = ((total + 1) // 2, total // 2 + 1), 0
+    while low < high:
+        width = -(-(high - low + 1) // MEDIAN_BANDS)
+        bands = (
+            known.filter(F.col("cents").between(low, high))
+            .groupBy(F.expr(f"(cents - {low}L) div {width}L").alias("band"))
+            .agg(F.sum("rows").alias("rows"), F.min("cents").alias("least"), F.max("cents").alias("most"))
+        )
+        # For each rank, the first band up to whose end there are as many rows.
+        found, reached = [], before
+        for row in sorted(bands.collect()):
+            found += [(row, reached) for rank in ranks[len(found) :] if rank <= reached + row["rows"]]
+            reached += row["rows"]
+            if len(found) == 2:
+                break
+        (first, before), (second, _) = found
+        if first["band"] != second["band"]:
+            return first["most"], second["least"]
+        low, high = first["least"], first["most"]
+    return low, low
 
-    def at(position: int) -> int:
-        low, high, before = least, most, 0
-        while low < high:
-            width = -(-(high - low + 1) // MEDIAN_BANDS)
-            band = F.expr(f"(cents - {low}L) div {width}L").alias("band")
-            inside = known.filter(F.col("cents").between(low, high))
-            for number, rows in sorted(map(tuple, inside.groupBy(band).count().collect())):
-                if before + rows >= position:
-                    low, high = low + number * width, min(high, low + (number + 1) * width - 1)
-                    break
-                before += rows
-        return low
 
-    first = at((total + 1) // 2)
-    second = first if total % 2 else at(total // 2 + 1)
-    return (first / 100 + second / 100) / 2
+def exact_median(df: DataFrame, amount: str) -> float | None:
+    """Exact median of a money column, the mean of the two middle values for an even count."""
+    found = middle(counted_cents(df, amount))
+    return None if found is None else (found[0] / 100 + found[1] / 100) / 2
 
 
 def revenue_summary(transactions: DataFrame, amount: str = "total_amount") -> DataFrame:
-    """Count, revenue, mean and exact median of the order totals."""
-    return transactions.agg(
-        F.count("*").alias("transactions"),
-        F.sum(amount).alias("revenue"),
-        quotient(F.sum(amount), F.count(amount)).alias("mean"),
-    ).withColumn("median", F.lit(exact_median(transactions, amount)).cast("double"))
+    """Count, revenue, mean and exact median of the order totals, all from the counts of one pass over them."""
+    counted = counted_cents(transactions, amount)
+    found = middle(counted)
+    median = None if found is None else (found[0] / 100 + found[1] / 100) / 2
+    kind = transactions.agg(F.sum(amount).alias("revenue")).schema["revenue"].dataType
+    revenue = (F.sum(F.col("cents").cast("decimal(20,0)") * F.col("rows")) / 100).cast(kind)
+    known = F.sum(F.when(F.col("cents").isNotNull(), F.col("rows")))
+    return counted.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("transactions"),
+        revenue.alias("revenue"),
+        quotient(revenue, known).alias("mean"),
+    ).withColumn("median", F.lit(median).cast("double"))
 
 
 def _last_periods(transactions: DataFrame, period: Column, amount: str) -> DataFrame:

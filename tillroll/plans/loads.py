@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.operators.batch import EmptyBatch, observed, run_metrics
-from tillroll.operators.ingest import (
-    assemble_transactions,
-    flatten_products,
-    large_order_parts,
-    priced_lines,
-    with_segment,
-)
-from tillroll.operators.joins import hot_keys
+from tillroll.operators.batch import EmptyBatch
+from tillroll.operators.ingest import flatten_products, packed_transactions, priced_lines, priced_parts, with_segment
+from tillroll.operators.joins import Hot, hot_keys
+from tillroll.sources.batches import publish, published
 from tillroll.sources.payload import read_documents
-from tillroll.sources.tables import append, snapshot, stamp
+from tillroll.sources.tables import shared_dir, snapshot, stamp
 
 
 def load_batch(
@@ -27,21 +24,31 @@ def load_batch(
     snapshot_base: str | None = None,
     revenue: str | None = None,
     allow_empty: bool = True,
+    beside: Mapping[str, DataFrame] | None = None,
 ) -> dict:
-    """Stamp a batch and append it to ``table``; rows, revenue and run time of the batch.
+    """Stamp a batch and publish it in ``table``; rows, revenue and run time of the batch.
+
+    ``beside`` are frames of further tables, seen with this one or not at all.  A load that is run again after it
+    failed gives the rows of one load; a batch that is published already, of this source and time, is left as it is,
+    and its metrics are returned.
 
     With ``snapshot_base`` the batch is first written there as a timestamped folder, and
     the table is loaded from that copy, so the batch is computed once.
     """
+    spark = df.sparkSession
     stamped = stamp(df, at, source)
-    if not allow_empty and stamped.isEmpty():
-        raise EmptyBatch(f"no rows for {table}; nothing was written")
-    if snapshot_base:
-        name = table.rsplit(".", 1)[-1]
-        stamped = df.sparkSession.read.parquet(snapshot(stamped, snapshot_base, name, at))
-    watched, seen = observed(stamped, revenue)
-    append(watched, table)
-    return run_metrics(seen, at, allow_empty)
+    batch_id = at.isoformat(timespec="seconds")
+    done = published(spark, table, batch_id, source)
+    if done is None:
+        if not allow_empty and stamped.isEmpty():
+            raise EmptyBatch(f"no rows for {table}; nothing was written")
+        if snapshot_base:
+            name = table.rsplit(".", 1)[-1]
+            stamped = spark.read.parquet(snapshot(stamped, snapshot_base, name, at, again=True))
+        others = {name: stamp(other, at, source) for name, other in (beside or {}).items()}
+        done = publish({**others, table: stamped}, batch_id, source, {table: revenue} if revenue else None)[table]
+    metrics = {"run_at": at.isoformat(), "rows": done.rows}
+    return metrics | {"revenue": done.revenue} if revenue else metrics
 
 
 def load_products(
@@ -76,10 +83,20 @@ def load_transactions(
 ) -> dict:
     """Orders priced from their lines; hot products and orders are spread over tasks.
 
-    The lines of orders too large for one text go to ``<table>_parts``, before the orders.
+    The lines of orders too large for one text go to ``<table>_parts``, which is published with the orders.  Lines are
+    priced and packed once, into a written copy that both tables are built from.
     """
     hot_products, hot_orders = hot_keys(lines, "product_id", "order_id")
-    priced = priced_lines(lines, products, hot_products)
-    orders = assemble_transactions(headers, priced, hot_orders, *hot_keys(headers, "order_id"))
-    append(stamp(large_order_parts(priced, hot_orders), at, source), f"{table}_parts")
-    return load_batch(orders, table, at, source, snapshot_base, revenue="total_amount")
+    packed = packed_copy(priced_lines(lines, products, hot_products), hot_orders)
+    orders = packed_transactions(headers, packed, *hot_keys(headers, "order_id"))
+    large = packed.filter("parts > 1").select("order_id", "part", "parts", "items_detail")
+    parts = {f"{table}_parts": large}
+    return load_batch(orders, table, at, source, snapshot_base, revenue="total_amount", beside=parts)
+
+
+def packed_copy(priced: DataFrame, hot_orders: Hot) -> DataFrame:
+    """The packed lines, written to the folder that all executors share and read again."""
+    path = f"{shared_dir(priced.sparkSession)}/packed/{uuid4().hex}"
+    packed = priced_parts(priced, hot=hot_orders)
+    packed.write.parquet(path)
+    return priced.sparkSession.read.schema(packed.schema).parquet(path)
