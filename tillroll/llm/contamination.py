@@ -24,8 +24,8 @@ GRAM = 5
 WINDOW = 10
 #: Words before A-Z are lower-cased: what is not ASCII, digits and letters.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Bits of the bitmap, as powers of two: eight or more a fingerprint, up to two million fingerprints.  With more of them more
-#: windows reach the join, and none is lost.
+#: Bits of the bitmap, as powers of two: 64 or more a fingerprint up to 262,144 fingerprints, 8 at two million.  With more of
+#: them more windows reach the join, and none is lost.
 LEAST_BITS, MOST_BITS = 16, 24
 
 _LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
@@ -81,7 +81,7 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 def _bitmap(prints: DataFrame) -> tuple[int, list[int]]:
     """Number of bits, as a power of two, and the bitmap of the fingerprints' first bits, 64 to a number."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (8 * prints.count()).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (64 * prints.count()).bit_length()))
     place = F.expr(f"shiftrightunsigned(print, {64 - bits})")
     word, bit = F.shiftright(place, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))")
     # At most 2 to the 18 numbers, however many fingerprints there are.
