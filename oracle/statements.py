@@ -180,6 +180,13 @@ WHERE source_order_id IS NOT NULL GROUP BY source_order_id HAVING COUNT(*) > 1""
         "q3_suite": " UNION ALL ".join(_check(model) for model in rules.UNIQUE),
     }
     tables["j3_spread_products"] = tables["j3_items_products"]
+    tables["a1_merged_totals"] = tables["a1_item_agg"]
+    tables["m3_month_folders"] = tables["m3_day_slice"]
+    tables["io9_gated_refresh"] = tables["io9_materialize"]
+    tables["p_customer_survey"] = "SELECT 'rows' AS section, NULL::VARCHAR AS value, COUNT(*) AS rows FROM raw_customers" + "".join(
+        f" UNION ALL SELECT '{c}', {c}::VARCHAR, COUNT(*) FROM raw_customers GROUP BY {c}"
+        for c in ("customer_segment", "gender", "state", "is_active", "email_verified", "marketing_opt_in")
+    )
     tables |= {f"io4_{name}": f"SELECT * FROM {name}" for name in CTES if name.startswith("raw_")}
     tables["io6_snapshot"] = tables["i3_segment"]
     sql |= {name: with_tables(select) for name, select in tables.items()}
@@ -223,6 +230,14 @@ FROM loaded""",
         "g4_latest_per_key": f"""
 SELECT product_id, IF(stock > 0, stock + 1, stock)::INTEGER AS stock, IF(stock > 0, '{SECOND}', '{FIRST}') AS batch_id
 FROM landed""",
+        "g4_merged_buckets": f"""
+SELECT product_id, IF(stock > 0, stock + 1, stock)::INTEGER AS stock, IF(stock > 0, '{SECOND}', '{FIRST}') AS batch_id
+FROM landed""",
+        "io7_retried_load": f"""
+SELECT batch_id, COUNT(*) AS rows, SUM(total_amount)::DECIMAL(28,2) AS revenue
+FROM ordered, (VALUES ('{FIRST}'), ('{SECOND}')) AS b(batch_id) GROUP BY batch_id""",
+        "io1_quarantine": """
+SELECT unnest(['loaded', 'not JSON']) AS reason, unnest([count(*), count(*)]) AS rows FROM landed""",
         "io1_json_documents": "SELECT * FROM landed",
         "io7_append": f"{_stamped(FIRST)} UNION ALL {_stamped(SECOND)}",
         "io7_incremental_append": f"{_stamped(FIRST)} UNION ALL {_stamped(SECOND)}",

@@ -1,5 +1,6 @@
 import json
-from datetime import datetime
+import re
+from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
@@ -7,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import ingest
 from tillroll.operators.batch import EmptyBatch, batch_metrics, day_slice, observed, run_metrics
+from tillroll.plans import loads
 from tillroll.rules import NOT_NULL
 from tillroll.sources import adapters, tables
-from tillroll.sources.payload import parse_documents, read_documents
-from tillroll.streaming.landing import load_new_documents
+from tillroll.sources.payload import UnreadableDocuments, parse_documents, read_documents
+from tillroll.streaming.landing import Landed, load_new_documents, load_readable_documents
 
 AT = datetime(2024, 7, 1, 2, 0, 0)
 FULL = {
@@ -282,6 +284,73 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     assert sorted(r.product_id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 101, 102, 103]
 
 
+def test_rows_of_many_batches_are_counted(spark, tmp_path):
+    """More batches than the progress that Spark remembers."""
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
+    (tmp_path / "landing").mkdir()
+    for i in range(12):
+        (tmp_path / "landing" / f"{i}.json").write_text(json.dumps({"products": [{**FULL, "id": i}]}))
+    remembered = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        assert load_new_documents(spark, landing, target, AT, "t", files_per_batch=1) == 12
+        assert load_new_documents(spark, landing, target, AT, "t", files_per_batch=1) == 0
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", remembered)
+
+
+def test_unreadable_documents_go_aside_in_a_stream(spark, tmp_path):
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
+    (tmp_path / "landing").mkdir()
+    good = json.dumps({"products": [{**FULL, "id": 1}, {**FULL, "id": 2}]})
+    (tmp_path / "landing" / "a.json").write_text(good + '\n{"products": [{"id": "x1"')
+    assert load_readable_documents(spark, landing, target, AT, "t") == Landed(2, 1)
+    (tmp_path / "landing" / "b.json").write_text('{"products": "none"}\n' + good)
+    assert load_readable_documents(spark, landing, target, AT, "t") == Landed(2, 1)
+    assert load_readable_documents(spark, landing, target, AT, "t") == Landed(0, 0)
+    aside = spark.read.parquet(f"{target}_quarantine").orderBy("document").collect()
+    assert [(r.file[-6:], r.reason) for r in aside] == [
+        ("b.json", "other types than declared"), ("a.json", "not JSON"),
+    ]
+    # One bad document still stops the strict load.
+    with pytest.raises(Exception):
+        load_new_documents(spark, landing, f"{target}-strict", AT, "t")
+
+
+def test_unreadable_documents_go_aside_in_a_batch(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    (tmp_path / "landing").mkdir()
+    good = [json.dumps({"products": [{**FULL, "id": i}]}) for i in range(8)]
+    (tmp_path / "landing" / "a.json").write_text("\n".join([*good, "{", '{"products": 5}']))
+    with pytest.raises(Exception):
+        loads.load_products(spark, landing, "quarantine_test.products", AT, "t")
+    with pytest.raises(UnreadableDocuments, match="2 of 10"):
+        loads.load_products(spark, landing, "quarantine_test.products", AT, "t", most_unreadable=0.1)
+    assert not spark.catalog.tableExists("quarantine_test.products")
+    got = loads.load_products(spark, landing, "quarantine_test.products", AT, "t", most_unreadable=0.2)
+    assert (got["rows"], got["unreadable"]) == (8, 2)
+    aside = spark.table("quarantine_test.products_quarantine")
+    assert sorted((r.document, r.reason) for r in aside.collect()) == [
+        ("{", "not JSON"), ('{"products": 5}', "other types than declared"),
+    ]
+
+
+def test_a_day_reads_the_files_of_its_day(spark, tmp_path):
+    path = str(tmp_path / "by-day")
+    df = spark.range(4000).selectExpr(
+        "id", "timestamp_ntz'2024-06-01 00:00:00' + make_dt_interval(0, 0, cast(id % 40 as int) * 1440) as order_date"
+    )
+    every = df.unionByName(df.selectExpr("id", "cast(null as timestamp_ntz) as order_date").limit(5))
+    tables.write_by_period(every, path, "order_date")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 4005 and stored.filter("day is null").count() == 5
+    sliced = day_slice(stored, date(2024, 6, 11), period="day")
+    assert sorted(r.id for r in sliced.collect()) == sorted(r.id for r in day_slice(df, date(2024, 6, 11)).collect())
+    assert "PartitionFilters: [isnotnull(day" in sliced._jdf.queryExecution().executedPlan().toString()
+    files = {f for f in sliced.select("_metadata.file_path").distinct().toPandas()["file_path"]}
+    assert 1 <= len(files) <= 2 and all("day=2024-06-10" in f for f in files)
+
+
 def test_each_landing_has_a_checkpoint_of_its_own(spark, tmp_path):
     for name in ("first", "second"):
         (tmp_path / name).mkdir()

@@ -4,8 +4,9 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from tillroll.operators import quality
+from tillroll.operators import ingest, profiles, quality
 from tillroll.plans.registry import all_queries
 from tillroll.plans.retail import Retail
 from tillroll.session import settings
@@ -70,6 +71,26 @@ def test_filters_reach_the_scan(models):
     assert text.count("EqualTo(source_order_id,5)") == 3  # also to both aggregates
 
 
+def test_packing_shuffles_the_lines_once(spark, models):
+    lines = derived.order_lines(spark, SF).withColumns({"unit_price": F.lit(1), "item_total": F.lit(1), "product_name": F.lit("a")})
+    packed = ingest.priced_parts(lines)
+    assert exchanges(packed) - exchanges(lines) == 1
+    # The totals of the orders follow from the packed lines without another.
+    headers = derived.order_headers(spark, SF)
+    orders = ingest.packed_transactions(headers, packed)
+    assert exchanges(orders) - exchanges(lines) - exchanges(headers) == 2
+
+
+def test_the_summary_prices_once(spark, monkeypatch):
+    """One written count, which all passes of the median and the sums read."""
+    written = []
+    count = profiles.counted_cents
+    monkeypatch.setattr(profiles, "counted_cents", lambda *args: written.append(count(*args)) or written[-1])
+    df = all_queries()["p13_summary"](spark, SF)
+    assert len(written) == 1
+    assert re.findall(r"ReadSchema: struct<(.*?)>", plan(df)) == ["cents:bigint,rows:bigint"]
+
+
 def test_no_query_plans_a_cross_join(spark):
     for name in ("transform_orders", "transform_order_items", "source_transactions", "p13_summary", "q3_suite"):
         text = plan(all_queries()[name](spark, SF))

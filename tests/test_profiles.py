@@ -1,8 +1,10 @@
 import random
+import re
 import statistics
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.operators import profiles
 
@@ -69,3 +71,26 @@ def test_samples_take_the_first_rows_by_key(spark):
     df = spark.range(100).selectExpr("id as product_id", "'x' as name")
     got = profiles.first_rows(df, ("product_id", "name"), "product_id").collect()
     assert [r.product_id for r in got] == list(range(10))
+
+
+def test_a_survey_is_one_scan_and_one_shuffle(spark, tmp_path):
+    path = str(tmp_path / "people")
+    rows = [(i, ["NY", "CA", None][i % 3], i % 2 == 0 if i % 5 else None) for i in range(30)]
+    spark.createDataFrame(rows, "customer_id long, state string, is_active boolean").write.parquet(path)
+    found = profiles.survey(spark.read.parquet(path), ["state", "is_active"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and len(re.findall(r"\bExchange ", plan)) == 1
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [("rows", None, 30), ("state", "NY", 10), ("state", "CA", 10), ("state", None, 10), ("is_active", None, 6),
+         ("is_active", "true", 12), ("is_active", "false", 12)], key=str)
+
+
+def test_reports_agree_with_their_single_queries(spark):
+    rows = [(i, "abc"[i % 3], None if i % 4 else "x", float(i), 1.0, 5) for i in range(40)]
+    columns = "product_id long, category string, brand string, price double, rating double, stock int"
+    products = spark.createDataFrame(rows, columns).withColumn("product_name", F.lit("n"))
+    report = profiles.product_profile(products)
+    assert report["rows"].collect() == profiles.row_count(products).collect()
+    assert report["categories"].collect() == profiles.distinct_count(products, "category").collect() == [(3,)]
+    assert report["brands"].collect() == [(1,)] and report["sample"].count() == 10
+    assert profiles.product_profile(products.limit(0))["rows"].collect() == [(0,)]

@@ -39,7 +39,16 @@ def batch_metrics(df: DataFrame, by: str = "batch_id", revenue: str | None = Non
     return df.groupBy(by).agg(*metrics)
 
 
-def day_slice(df: DataFrame, as_of: date, column: str = "order_date") -> DataFrame:
-    """Rows of the day before ``as_of``, as a range that Parquet can skip by."""
-    start, end = midnight(as_of - timedelta(days=1)), midnight(as_of)
-    return df.filter((F.col(column) >= start) & (F.col(column) < end))
+def day_slice(df: DataFrame, as_of: date, column: str = "order_date", period: str | None = None) -> DataFrame:
+    """Rows of the day before ``as_of``, as a range that Parquet can skip by.
+
+    ``period`` is that of the folders (day, month or year) where ``tables.write_by_period`` has written the rows; only the one
+    that holds the day is read then.
+    """
+    before = as_of - timedelta(days=1)
+    start, end = midnight(before), midnight(as_of)
+    within = (F.col(column) >= start) & (F.col(column) < end)
+    if period is None:
+        return df.filter(within)
+    folder = {"day": before, "month": before.replace(day=1), "year": before.replace(month=1, day=1)}[period]
+    return df.filter(within & (F.col(period) == F.lit(folder)))

@@ -7,12 +7,20 @@ from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.operators.batch import EmptyBatch
 from tillroll.operators.ingest import flatten_products, packed_transactions, priced_lines, priced_parts, with_segment
 from tillroll.operators.joins import Hot, hot_keys
 from tillroll.sources.batches import publish, published
-from tillroll.sources.payload import read_documents
+from tillroll.sources.payload import (
+    UNREADABLE,
+    UnreadableDocuments,
+    quarantined,
+    read_documents,
+    readable,
+    tolerant_documents,
+)
 from tillroll.sources.tables import shared_dir, snapshot, stamp
 
 
@@ -59,10 +67,24 @@ def load_products(
     source: str = "landing",
     snapshot_base: str | None = None,
     multi_line: bool = False,
+    most_unreadable: float | None = None,
 ) -> dict:
-    """Products of the landed documents; a landing without products is an error."""
-    products = flatten_products(read_documents(spark, landing, multi_line))
-    return load_batch(products, table, at, source, snapshot_base, allow_empty=False)
+    """Products of the landed documents; a landing without products is an error.
+
+    A document that cannot be read is an error, too, unless ``most_unreadable`` is given: then at most that share of the
+    documents may be unreadable, which are published beside the products in ``<table>_quarantine`` with their file and the
+    reason, and counted in the metrics.  With more of them nothing is loaded.
+    """
+    if most_unreadable is None:
+        products = flatten_products(read_documents(spark, landing, multi_line))
+        return load_batch(products, table, at, source, snapshot_base, allow_empty=False)
+    documents = tolerant_documents(spark, landing, multi_line)
+    every, bad = documents.agg(F.count("*"), F.count(UNREADABLE)).first()
+    if bad > most_unreadable * every:
+        raise UnreadableDocuments(f"{bad} of {every} documents under {landing} cannot be read; nothing was written")
+    beside = {f"{table}_quarantine": quarantined(documents)}
+    products = flatten_products(readable(documents))
+    return load_batch(products, table, at, source, snapshot_base, allow_empty=False, beside=beside) | {"unreadable": bad}
 
 
 def load_customers(

@@ -15,7 +15,7 @@ from tillroll.operators.joins import Hot, hot_keys, join
 from tillroll.plans import loads
 from tillroll.plans.retail import STAGED, TRANSFORMED, Retail
 from tillroll.rules import NOT_NULL, UNIQUE
-from tillroll.sources import adapters, derived, tables
+from tillroll.sources import adapters, buckets, derived, tables
 from tillroll.sources.payload import parse_documents, read_documents
 from tillroll.streaming.landing import load_new_documents
 
@@ -214,12 +214,18 @@ def _raw_orders_from_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.raw_orders(tables.stamp(_source_transactions(spark, sf_dir), INGESTED_AT, "source"))
 
 
-def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads of the catalogue, the second with changed stock; the last of each product."""
+def _catalogue_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two loads of the catalogue, the second with changed stock."""
     first = _stamped_products(spark, sf_dir)
     second = _stamped_products(spark, sf_dir, NEXT_INGESTED_AT).filter("stock > 0").withColumn(
         "stock", F.col("stock") + 1
     )
+    return first, second
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of each product in two loads of the catalogue."""
+    first, second = _catalogue_loads(spark, sf_dir)
     both = first.unionByName(second)
     return adapters.latest_per_key(both, "product_id").select("product_id", "stock", "batch_id")
 
@@ -296,6 +302,91 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the catalogue, the second with changed stock, merged into a table of current rows."""
+    name = _new_table("products")
+    for load in _catalogue_loads(spark, sf_dir):
+        buckets.merge(load, name, "product_id", "product_id", buckets=16)
+    return spark.table(name).select("product_id", "stock", "batch_id")
+
+
+def _merged_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by order, kept through a first load of lines and a batch that corrects, adds, moves and retracts some."""
+    name = _new_table("stg_order_items")
+    right = retail(spark, sf_dir)["stg_order_items"].drop("batch_id")
+    part = F.pmod(F.xxhash64("source_order_item_id"), F.lit(100))
+    astray = F.col("source_order_id") + 1
+    first = right.filter(part > 0).withColumns(
+        {
+            "quantity": F.when(part == 1, F.col("quantity") + 3).otherwise(F.col("quantity")),
+            "source_order_id": F.when(part == 2, astray).otherwise(F.col("source_order_id")),
+        }
+    )
+    wrong = right.filter(part == 3).withColumn("source_order_item_id", F.concat(F.lit("x"), "source_order_item_id"))
+    kept, out = F.lit(False).alias("retracted"), F.lit(True).alias("retracted")
+    second = (
+        right.filter(part <= 2)
+        .select("*", kept)
+        .unionByName(right.filter(part == 2).withColumn("source_order_id", astray).select("*", out))
+        .unionByName(wrong.select("*", out))
+    )
+    totals = {f"{name}_totals": item_totals}
+    for batch_id, lines in (("1", first.unionByName(wrong)), ("2", second)):
+        stamped = lines.withColumn("batch_id", F.lit(batch_id))
+        buckets.merge(stamped, name, "source_order_item_id", "source_order_id", 16, derived=totals)
+    return spark.table(f"{name}_totals")
+
+
+def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model whose second refresh fails its declared checks: readers still see the first."""
+    name = _new_table("stg_orders")
+    orders_ = retail(spark, sf_dir)["stg_orders"]
+
+    def check(df: DataFrame) -> None:
+        quality.require(quality.check_model(df, "stg_orders").collect())
+
+    tables.overwrite(orders_, name, check=check)
+    try:
+        tables.overwrite(orders_.unionByName(orders_.filter("total_amount > 1000")), name, check=check)
+    except quality.ChecksFailed:
+        pass
+    return spark.table(name)
+
+
+def _loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and revenue by batch of two loads, each run a second time, as a retry does."""
+    name = _new_table("transactions")
+    totals = _ordered_transactions(spark, sf_dir)
+    for at in (INGESTED_AT, NEXT_INGESTED_AT, INGESTED_AT, NEXT_INGESTED_AT):
+        loads.load_batch(totals, name, at, "source", revenue="total_amount")
+    return batch.batch_metrics(spark.table(name), revenue="total_amount")
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed with a broken copy of each: the products loaded and what went aside, by reason."""
+    path, name = f"{_fresh(spark)}/products", _new_table("products")
+    documents = derived.product_documents(spark, sf_dir)
+    broken = documents.select(F.expr("substring(value, 1, length(value) - 5)").alias("value"))
+    documents.unionByName(broken).write.text(path)
+    loads.load_products(spark, path, name, INGESTED_AT, most_unreadable=0.5)
+    aside = spark.table(f"{name}_quarantine").select("reason")
+    return (
+        spark.table(name).select(F.lit("loaded").alias("reason")).unionByName(aside).groupBy("reason").agg(F.count("*").alias("rows"))
+    )
+
+
+def _month_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_fresh(spark)}/raw_orders"
+    tables.write_by_period(derived.RAW_TABLES["raw_orders"](spark, sf_dir), path, "order_date", "month")
+    sliced = batch.day_slice(spark.read.parquet(path), DAY_SLICE_AS_OF, period="month")
+    return sliced.select("source_order_id", "order_date", "total_amount")
+
+
+def _survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = derived.source_customers(spark, sf_dir)
+    return profiles.survey(customers, (*profiles.CUSTOMER_SECTIONS, *profiles.CUSTOMER_FLAGS))
+
+
 # --- joins, checks, metrics --------------------------------------------------
 
 
@@ -423,13 +514,18 @@ def all_queries() -> dict[str, Query]:
         ),
         "g2_raw_orders": _raw_orders_from_source,
         "g4_latest_per_key": _latest,
+        "g4_merged_buckets": _upserted,
+        "a1_merged_totals": _merged_totals,
         "io1_json_documents": _landed_documents,
         "io2_product_scan": _products_profile(lambda df: tables.reference_scan(df, "products")),
         "io3_customer_scan": _customers_profile(lambda df: tables.reference_scan(df, "customers")),
         "io6_snapshot": _snapshot,
         "io7_append": _appended,
         "io7_incremental_append": _incremental,
+        "io7_retried_load": _loaded_twice,
+        "io1_quarantine": _quarantined,
         "io8_overwrite": _overwritten,
+        "io9_gated_refresh": _rebuilt,
         "io9_materialize": _materialized,
         "io10_adhoc_sql": _adhoc,
         "io11_batch_stamp": lambda s, d: _stamped_products(s, d).select(
@@ -456,6 +552,7 @@ def all_queries() -> dict[str, Query]:
         "p12_customer_sample": _customers_profile(
             lambda df: profiles.first_rows(df, profiles.CUSTOMER_SAMPLE, "customer_id")
         ),
+        "p_customer_survey": _survey,
         "p13_summary": _transactions_profile(profiles.revenue_summary),
         "p14_status": _transactions_profile(lambda df: profiles.value_counts(df, "order_status")),
         "p14_payment_method": _transactions_profile(lambda df: profiles.value_counts(df, "payment_method")),
@@ -468,6 +565,7 @@ def all_queries() -> dict[str, Query]:
         "m3_day_slice": lambda s, d: batch.day_slice(
             _raw("raw_orders")(s, d), DAY_SLICE_AS_OF
         ).select("source_order_id", "order_date", "total_amount"),
+        "m3_month_folders": _month_folders,
         "q1_not_null": _not_null,
         "q2_unique": _unique,
         "q3_suite": _suite,

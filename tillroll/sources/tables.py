@@ -66,6 +66,18 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def write_by_period(df: DataFrame, path: str, moment: str, period: str = "day") -> None:
+    """Write Parquet in one folder per day, or month or year, of ``moment``, so that a slice of time reads its folders only.
+
+    The folder's date is added as a column named as the period.  Rows are dealt to tasks by ranges of the moment, so a period
+    with very many rows is written by several tasks and one with few makes one small file.  Rows without a moment have a
+    folder of their own.
+    """
+    begins = F.col(moment).cast("date") if period == "day" else F.trunc(F.col(moment).cast("date"), period)
+    dated = df.withColumn(period, begins)
+    dated.repartitionByRange(period, moment).write.mode("errorifexists").partitionBy(period).parquet(path)
+
+
 def create_database(spark: SparkSession, table: str) -> None:
     """The database that the table's name begins with."""
     if "." in table:
