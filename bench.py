@@ -69,7 +69,8 @@ def main() -> None:
     def run(name: str) -> float:
         start = time.perf_counter()
         if name == "refresh":
-            refresh(spark, raw, AS_OF).write.format("noop").mode("overwrite").save()
+            # The test tables have customers without an email, which a declared check reports; it is not to stop the run.
+            refresh(spark, raw, AS_OF, gate=False).write.format("noop").mode("overwrite").save()
         else:
             frame(name).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
