@@ -12,7 +12,7 @@ from corpus import clashing, documents, found, nothing, prose, rows
 from pyarrow import fs
 from tokenizers import Tokenizer
 
-from tillroll.llm import bpe, packing, token_counts, token_files
+from tillroll.llm import bpe, packing, pretokens, token_counts, token_files
 from tillroll.llm.pretokens import SAFE, PreTokens
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -27,6 +27,19 @@ def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
 
+@pytest.mark.parametrize("path", [BYTES, LOWER])
+def test_texts_encode_together_as_one_by_one(path, monkeypatch):
+    texts = [t or "" for _, t, *_ in rows()] + [prose(i, 5 + i) for i in range(60)]
+    texts += ["", " ", "a", " a", "a ", "\n", "a\nb", "\na\n", "a b\nc d.", "x  y", "a\tb", "é à, b.", "a. b! c? d: e; f,", "don't we'll 12 a1"]
+    coder = pretokens.PreTokens(path)
+    want = [library_ids(path, t) for t in texts]
+    assert [ids.tolist() for ids in coder.encode_all(texts)] == want
+    monkeypatch.setattr(pretokens, "TOGETHER", 700)
+    monkeypatch.setattr(pretokens, "CACHE", 20)
+    assert [ids.tolist() for ids in pretokens.PreTokens(path).encode_all(texts)] == want
+    assert coder.encode_all([]) == []
+
+
 @pytest.mark.parametrize("path", [BYTES, LOWER])
 def test_words_encode_as_the_library_does(path):
     coder, library = PreTokens(path), Tokenizer.from_file(path)

@@ -136,7 +136,7 @@ def _tokens(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
         schema = pa.schema({"doc_id": pa.int64(), "source": pa.string(), "n": pa.int64(), "ids": pa.binary()})
         stop = np.array([end], dtype=np.uint32)
         for batch in small_batches(batches, "text"):
-            found = [np.concatenate([coder.encode(t), stop]).astype(kind) for t in texts_of(batch, "text")]
+            found = [np.concatenate([ids, stop]).astype(kind) for ids in coder.encode_all(texts_of(batch, "text"))]
             yield record_batch(
                 schema,
                 {

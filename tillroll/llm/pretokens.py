@@ -14,8 +14,11 @@ import re
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: White space, printable ASCII, Latin, Cyrillic, kana, Han and Hangul syllables: letters, digits and signs that need no
@@ -52,8 +55,15 @@ def mapped(piece: str) -> str:
         return piece.replace(" ", _SHOWN_SPACE)
     return piece.encode().decode("latin-1").translate(_SHOWN)
 
-#: White space after white space, or any other than space and newline.
-_DOUBLE_SPACE = re.compile(r"\s\s|[^\S \n]").search
+#: White space after white space, or any other than space and newline, among the safe characters.
+_SPACES = ("  ", " \n", "\n ", "\n\n", "\t", "\r")
+_ID = attrgetter("id")
+#: Characters of the texts that are split together.
+TOGETHER = 1 << 23
+
+
+def _double_space(text: str) -> bool:
+    return any(map(text.__contains__, _SPACES))
 
 
 class _Filled(dict):
@@ -114,6 +124,7 @@ class PreTokens:
         self._of_word = _Filled(self._word)
         self._of_spaced = _Filled(lambda word: self._word(" " + word))
         self._of_piece = _Filled(self._piece)
+        self._of_unit = _Filled(self._unit)
         self._tokenize = self.library.model.tokenize
 
     def plain(self, text: str) -> bool:
@@ -121,7 +132,7 @@ class PreTokens:
         return self.known and self._odd(text) is None and not any(s in text for s in self.specials)
 
     def _piece(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self._tokenize(mapped(piece))]).tobytes()
+        return array("I", map(_ID, self._tokenize(mapped(piece)))).tobytes()
 
     def _word(self, word: str) -> bytes:
         letters = word[1:] if word[:1] == " " else word
@@ -138,7 +149,7 @@ class PreTokens:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         for cache in (self._of_word, self._of_spaced, self._of_piece):
             cache.age()
-        if self.lower or _DOUBLE_SPACE(text):
+        if self.lower or _double_space(text):
             return np.frombuffer(b"".join(map(self._of_word.__getitem__, self.words(text))), dtype=np.uint32)
         # Single spaces and newlines only: a space belongs to the word after it, a newline stands by itself.
         parts: list[bytes] = []
@@ -148,6 +159,60 @@ class PreTokens:
             parts += map(self._of_spaced.__getitem__, words)
         return np.frombuffer(b"".join(parts[1:]), dtype=np.uint32)
 
+    def _unit(self, unit: str) -> bytes:
+        """Ids of a word after a space, of a newline with the word after it, or of a text's first word behind a return."""
+        if unit.isalpha():
+            if unit.isascii():
+                return array("I", map(_ID, self._tokenize(_SHOWN_SPACE + unit))).tobytes()
+            return self._piece(" " + unit)
+        if unit[:1] == "\n":
+            return self._of_word["\n"] + self._of_word[unit[1:]]
+        if unit[:1] == "\r":
+            return self._of_word[unit[1:]]
+        if unit[-1:] in _ENDS and unit[:-1].isalpha():
+            return self._of_unit[unit[:-1]] + self._of_piece[unit[-1]]
+        return self._word(" " + unit)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """``encode`` of every text; single-spaced ones are split and looked up together."""
+        found: list[np.ndarray | None] = [None] * len(texts)
+        held = 0
+        together: list[int] = []
+        for i, text in enumerate(texts):
+            if self.lower or len(text) > TOGETHER or not self.plain(text) or _double_space(text):
+                found[i] = self.encode(text)
+                continue
+            if held + len(text) > TOGETHER:
+                self._encode_together(texts, together, found)
+                together, held = [], 0
+            together.append(i)
+            held += len(text)
+        self._encode_together(texts, together, found)
+        return found
+
+    def _encode_together(self, texts: list[str], numbers: list[int], found: list[np.ndarray | None]) -> None:
+        if not numbers:
+            return
+        for cache in (self._of_word, self._of_unit, self._of_piece):
+            cache.age()
+        # A newline goes with the word after it; a return, which these texts do not have, marks the first word.
+        marked = pa.array(["\r" + texts[i].replace("\n", " \n") for i in numbers], pa.large_string())
+        units = pc.split_pattern(marked, " ")
+        numbered = pc.dictionary_encode(units.flatten())
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self._of_unit.__getitem__, words))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        which = numbered.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0)
+        places += np.repeat(firsts[which] - ends + lengths, lengths)
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)[places]
+        cuts = np.concatenate([[0], ends])[units.offsets.to_numpy()]
+        for i, a, b in zip(numbers, cuts[:-1].tolist(), cuts[1:].tolist()):
+            found[i] = flat[a:b]
+
     def words(self, text: str) -> list[str]:
         """White-space bounded parts of a plain text; no pre-token crosses them."""
         return self._words(text.lower() if self.lower else text)
