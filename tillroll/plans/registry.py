@@ -313,7 +313,9 @@ def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _merged_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by order, kept through a first load of lines and a batch that corrects, adds, moves and retracts some."""
     name = _new_table("stg_order_items")
-    right = retail(spark, sf_dir)["stg_order_items"].drop("batch_id")
+    # The ids of lines repeat here and there; with the amount they do not.
+    named = F.concat_ws("-", "source_order_item_id", "total_price").alias("line")
+    right = retail(spark, sf_dir)["stg_order_items"].drop("batch_id").select("*", named)
     part = F.pmod(F.xxhash64("source_order_item_id"), F.lit(100))
     astray = F.col("source_order_id") + 1
     first = right.filter(part > 0).withColumns(
@@ -322,7 +324,7 @@ def _merged_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
             "source_order_id": F.when(part == 2, astray).otherwise(F.col("source_order_id")),
         }
     )
-    wrong = right.filter(part == 3).withColumn("source_order_item_id", F.concat(F.lit("x"), "source_order_item_id"))
+    wrong = right.filter(part == 3).withColumn("line", F.concat(F.lit("x"), "line"))
     kept, out = F.lit(False).alias("retracted"), F.lit(True).alias("retracted")
     second = (
         right.filter(part <= 2)
@@ -333,7 +335,7 @@ def _merged_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = {f"{name}_totals": item_totals}
     for batch_id, lines in (("1", first.unionByName(wrong)), ("2", second)):
         stamped = lines.withColumn("batch_id", F.lit(batch_id))
-        buckets.merge(stamped, name, "source_order_item_id", "source_order_id", 16, derived=totals)
+        buckets.merge(stamped, name, "line", "source_order_id", 16, derived=totals)
     return spark.table(f"{name}_totals")
 
 
