@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.tables import shared_dir
+
 #: Rows and text bytes a Python task holds at a time, unless one text alone is longer.
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
@@ -20,10 +22,9 @@ BATCH_BYTES = 8 << 20
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors reach, as ``spark.checkpoint.dir`` names it.
 
-    A session without the setting (tests) gets a folder in its warehouse.
+    A local session without the setting gets a folder in its warehouse; on a cluster that is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
+    return shared_dir(spark)
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -61,10 +62,14 @@ def least_hash(key: str) -> Column:
     return F.min(F.xxhash64(key))
 
 
+def hash_bound(rate: float) -> int:
+    """The bound below which a share ``rate`` of all 64-bit hashes lie."""
+    return min((1 << 63) - 1, int(rate * 2**64) - (1 << 63))
+
+
 def drawn_at(rate: float, least: int, key: str) -> Column:
     """Whether the hash of ``key`` draws a row: a share ``rate`` of all 64-bit hashes, and always the least one."""
-    bound = min((1 << 63) - 1, int(rate * 2**64) - (1 << 63))
-    return F.xxhash64(key) <= F.lit(max(bound, least))
+    return F.xxhash64(key) <= F.lit(max(hash_bound(rate), least))
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:

@@ -7,21 +7,22 @@ do not change the answer.  A text whose best codeword does not beat all others t
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import crc32_of, drawn_at, least_hash, record_batch, small_batches, texts_of
+from tillroll.llm.common import crc32_of, hash_bound, record_batch, small_batches, texts_of
 
 #: Labelled rows that the classifiers are fitted on, dealt evenly to the languages.
 SAMPLE_ROWS = 2400
-#: Languages learned, those with the most rows first.
-MOST_LANGUAGES = 200
+#: Languages learned, those with the most rows first: more than are in use with any amount of text.
+MOST_LANGUAGES = 4096
 BUCKETS = 1 << 13
 LONGEST = 4
 #: Words of the short extract of each sampled text, from which short texts are learned.
@@ -31,6 +32,8 @@ UNKNOWN = "und"
 EXHAUSTIVE = 6
 
 _ROUNDS = 120
+#: Sampled vectors that are unpacked at a time.
+_BLOCK = 512
 _DECAY = 1e-5
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,12 +79,12 @@ def codewords(languages: int) -> np.ndarray:
         return np.array(columns, dtype=np.int8).T.reshape(languages, -1)
     bits, rng = int(np.ceil(10 * np.log2(languages))), np.random.default_rng(0)
     best, farthest = None, -1
-    for _ in range(50):
+    for _ in range(max(1, min(50, 4 * MOST_LANGUAGES // languages))):
         code = rng.choice(np.array([-1, 1], dtype=np.int8), (languages, bits))
-        same = (code.astype(int) @ code.T.astype(int)).astype(float)
+        same = code.astype(np.float32) @ code.T.astype(np.float32)
         np.fill_diagonal(same, -bits)
         distance = (bits - same.max()) / 2
-        if distance > farthest and (np.abs(code.sum(axis=0)) < languages).all():
+        if distance > farthest and (np.abs(code.sum(axis=0, dtype=int)) < languages).all():
             best, farthest = code, distance
     return best
 
@@ -97,31 +100,49 @@ class Model:
     def decode(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of the nearest language of each row, and its share of the likelihood."""
         margins = vectors @ self.weights + self.bias
-        losses = np.logaddexp(0, -margins[:, None, :] * self.code[None])
-        distance = (losses * self.trust[None]).sum(axis=2)
+        # A bit's loss depends on its sign in the code alone, so the weighted sums are two products.
+        distance = np.logaddexp(0, -margins) @ np.where(self.code > 0, self.trust, 0).T
+        distance += np.logaddexp(0, margins) @ np.where(self.code < 0, self.trust, 0).T
         shares = np.exp(distance.min(axis=1, keepdims=True) - distance)
         best = shares.argmax(axis=1)
         return best, 1 / shares.sum(axis=1)
 
 
-def fit(vectors: np.ndarray, labels: np.ndarray, languages: tuple[str, ...]) -> Model:
-    """Logistic classifiers of every bit of the code, by full-batch descent with momentum."""
+def fit(counted: np.ndarray, labels: np.ndarray, languages: tuple[str, ...]) -> Model:
+    """Logistic classifiers of every bit of the code, by full-batch descent with momentum.
+
+    ``counted`` holds the vectors in bytes, up to a factor; a block of them at a time becomes unit vectors.
+    """
     code = codewords(len(languages))
     targets = code[labels].astype(np.float32)
     share = np.bincount(labels, minlength=len(languages)).astype(np.float32)
     weight = (1 / (len(languages) * share))[labels][:, None]
-    weights = np.zeros((vectors.shape[1], code.shape[1]), dtype=np.float32)
+    weights = np.zeros((counted.shape[1], code.shape[1]), dtype=np.float32)
     bias = np.zeros(code.shape[1], dtype=np.float32)
     speed, bias_speed = np.zeros_like(weights), np.zeros_like(bias)
+    blocks = [slice(i, i + _BLOCK) for i in range(0, len(counted), _BLOCK)]
+    lengths = [np.sqrt((counted[b].astype(np.float32) ** 2).sum(axis=1, keepdims=True)) for b in blocks]
+
+    def margins() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for block, length in zip(blocks, lengths):
+            vectors = counted[block].astype(np.float32)
+            vectors /= np.maximum(length, 1e-9)
+            yield block, vectors, vectors @ weights + bias
+
     for _ in range(_ROUNDS):
-        margins = targets * (vectors @ weights + bias)
-        pull = weight * targets / (1 + np.exp(np.clip(margins, -30, 30)))
-        speed = 0.9 * speed + 20 * (vectors.T @ pull - _DECAY * weights)
-        bias_speed = 0.9 * bias_speed + pull.sum(axis=0)
+        slope, bias_slope = -_DECAY * weights, np.zeros_like(bias)
+        for block, vectors, margin in margins():
+            pull = weight[block] * targets[block] / (1 + np.exp(np.clip(targets[block] * margin, -30, 30)))
+            slope += vectors.T @ pull
+            bias_slope += pull.sum(axis=0)
+        speed = 0.9 * speed + 20 * slope
+        bias_speed = 0.9 * bias_speed + bias_slope
         weights += speed
         bias += bias_speed
-    right = (np.sign(vectors @ weights + bias) == targets).astype(float)
-    trust = np.stack([right[labels == i].mean(axis=0) for i in range(len(languages))])
+    right = np.concatenate([np.sign(margin) == targets[block] for block, _, margin in margins()]).astype(np.float32)
+    trust = np.zeros(code.shape)
+    np.add.at(trust, labels, right)
+    trust /= share[:, None]
     trust /= np.maximum(trust.mean(axis=1, keepdims=True), 1e-9)
     return Model(languages, code, trust, weights, bias)
 
@@ -146,30 +167,51 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return rows.select("lang", "text").mapInArrow(run, "lang string, vector binary")
 
 
-def train(docs: DataFrame, learned: Column, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Model from a sample of about ``sample_rows`` of the rows where ``learned`` holds and text and lang are known.
+def sampled(docs: DataFrame, learned: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame | None:
+    """(lang, text) of the rows to learn from: of each language, the same number of different rows of least hash.
 
-    Only text and lang enter the model; ids pick the sample.  Languages are counted over all rows.  None without rows.
+    The hash is that of id and text, so rows that repeat an id are drawn by their texts, equal rows count once, and the same
+    rows are drawn however they are read.  None without a row that may be learned from.
     """
-    labelled = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counted = labelled.groupBy("lang").agg(F.count("*").alias("count"), least_hash("doc_id").alias("least"))
+    labelled = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("doc_id", "text").alias("hash")
+    )
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("count"), F.min("hash").alias("least"))
     found = counted.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not found:
         return None
     quota = max(2, sample_rows // len(found))
-    drawn = F.lit(False)
-    for r in found:
-        rate = min(1.0, quota / r["count"])
-        drawn = drawn | ((F.col("lang") == r["lang"]) & drawn_at(rate, r["least"], "doc_id"))
-    rows = _vectors(labelled.filter(drawn).select("lang", "text")).limit(4 * sample_rows + 4 * len(found)).collect()
-    if not rows:
+    # Hashes up to which there are about twice the quota of rows; one row per language, of which there are few.
+    bounds = [(r["lang"], max(r["least"], hash_bound(2 * quota / r["count"]))) for r in found]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound long"))
+    drawn = labelled.join(bounds, "lang").filter("hash <= bound").dropDuplicates(["lang", "hash"])
+    nearest = Window.partitionBy("lang").orderBy("hash")
+    return drawn.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= quota).select("lang", "text")
+
+
+def train(docs: DataFrame, learned: Column, sample_rows: int = SAMPLE_ROWS) -> Model | None:
+    """Model from a sample of about ``sample_rows`` of the rows where ``learned`` holds and text and lang are known.
+
+    Only text and lang enter the model; ids and texts pick the sample.  Languages are counted over all rows.  None without rows.
+    """
+    rows = sampled(docs, learned, sample_rows)
+    if rows is None:
+        return None
+    table = _vectors(rows).toArrow()
+    # In a fixed order, so that the same rows give the same model however the tasks end.
+    found = sorted(
+        (lang, hashlib.md5(vector.as_buffer()).digest(), i)
+        for i, (lang, vector) in enumerate(zip(table.column("lang").to_pylist(), table.column("vector")))
+    )
+    if not found:
         return None
-    vectors = np.stack([np.frombuffer(r["vector"], np.uint8) for r in rows]).astype(np.float32)
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    languages = tuple(sorted({r["lang"] for r in rows}))
-    if missing := sorted({r["lang"] for r in found} - set(languages)):
-        raise ValueError(f"no sampled row of languages that rows are labelled with: {missing}")
-    return fit(vectors, np.array([languages.index(r["lang"]) for r in rows]), languages)
+    counted = np.empty((len(found), BUCKETS), dtype=np.uint8)
+    for to, (_, _, i) in enumerate(found):
+        counted[to] = np.frombuffer(table.column("vector")[i].as_buffer(), np.uint8)
+    del table
+    languages = tuple(sorted({lang for lang, _, _ in found}))
+    number = {lang: i for i, lang in enumerate(languages)}
+    return fit(counted, np.array([number[lang] for lang, _, _ in found]), languages)
 
 
 class _Judge:
