@@ -144,6 +144,9 @@ def test_other_columns_and_other_databases_are_errors(spark):
         batches.publish({name: batch(spark, LATER, 1).drop("paid")}, LATER.isoformat(), "t")
     with pytest.raises(ValueError, match="one database"):
         batches.publish({name: batch(spark, LATER, 1), "ledger_other.x": batch(spark, LATER, 1)}, LATER.isoformat(), "t")
+    tables.append(spark.range(1), "ledger_test.plain")
+    with pytest.raises(ValueError, match="not made of published batches"):
+        batches.publish({"ledger_test.plain": batch(spark, AT, 1)}, AT.isoformat(), "t")
     # Another source of the same time is another batch.
     batches.publish({name: tables.stamp(batch(spark, AT, 4).select("id", "paid"), AT, "u")}, AT.isoformat(), "u")
     assert spark.table(name).count() == 2

@@ -78,6 +78,8 @@ def publish(
     for table, df in frames.items():
         create_database(spark, table)
         if spark.catalog.tableExists(table):
+            if not spark.catalog.tableExists(_stored(table)):
+                raise ValueError(f"{table} was not made of published batches")
             same_columns(df, table)
     attempt, written = uuid4().hex, {}
     for table, df in frames.items():

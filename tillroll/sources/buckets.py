@@ -101,6 +101,8 @@ def merge(
         changes = changes.withColumn(RETRACTED, F.lit(False))
     plain = changes.drop(RETRACTED)
     if spark.catalog.tableExists(table):
+        if not spark.catalog.tableExists(_stored(table)):
+            raise ValueError(f"{table} was not made by merges")
         same_columns(plain, table)
     create_table(_placed(plain, bucket_by, buckets, ""), _stored(table), f"PARTITIONED BY ({BUCKET}, {WRITER})")
     buckets = _buckets(spark, table, buckets)
