@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import record_batch, saved, small_batches, texts_of
+from tillroll.llm.common import hash_bound, record_batch, saved, small_batches, texts_of
 
 #: Private key blocks, with header lines or without, and runs that could be a key, if ``LEAST`` characters are left without
 #: the signs at their end.  The patterns here take time in proportion to a text, whatever it holds.
@@ -36,22 +36,25 @@ _TELLING = re.compile(
 )
 #: Characters before the sign that ``_TELLING`` sees.
 NAME = 80
-#: The given value: quoted, whatever it holds, or up to the next white space.
+#: The given value: quoted, whatever it holds, or up to the next white space or name of a URL's query.
 _VALUE = re.compile(
     r"[=>]?[ \t]*+(?:(?:bearer|basic|token)[ \t]++)?"
-    r"(?:\"((?:[^\"\\\r\n]++|\\.)++)\"|'((?:[^'\\\r\n]++|\\.)++)'|`([^`\r\n]++)`|[\"'`]?((?:[^\s\"'`:]++|:(?!//))++))",
+    r"(?:\"((?:[^\"\\\r\n]++|\\.)++)\"|'((?:[^'\\\r\n]++|\\.)++)'|`([^`\r\n]++)`"
+    r"|[\"'`]?(?!//)((?:[^\s\"'`:&]++|:(?!//)|&(?![A-Za-z_][A-Za-z0-9_.-]{0,63}=))++))",
     re.IGNORECASE,
 )
-#: The password of a URL's user; what a value that is not quoted does not end with; the next name of a URL's query.
+#: The password of a URL's user; what a value that is not quoted does not end with.
 _URL = re.compile(r"://[^\s/@:\"'<>]*+:([^\s/@\"'<>]++)@")
 _TAIL = ".,;:)]}>"
-_QUERY = re.compile(r"&[A-Za-z_][A-Za-z0-9_.-]{0,63}=")
 _PART = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]{0,63}[=:](?=[^=/:])")
 LEAST = 16
 #: Characters before and after a candidate that its features see.
 CONTEXT = 64
-#: Findings of the corpus that training takes at most, with and without the label.
+#: Documents that training looks for findings in, about, and findings it takes at most, with and without the label.
+SAMPLE_DOCUMENTS = 20_000
 SAMPLE_FINDINGS = 2000
+#: Characters of the longest finding that is trained on.
+LONGEST_TRAINED = 4096
 TREES, DEPTH, LEAST_LEAF, CUTS = 32, 8, 4, 12
 MASK = "<secret>"
 
@@ -102,7 +105,10 @@ class Finding:
 
 
 def _values(text: str) -> list[tuple[int, int]]:
-    """Spans of values of any length: given to a telling name by = or :, and passwords in URLs."""
+    """Spans of values of any length: given to a telling name by = or :, and passwords in URLs.
+
+    What is not quoted is matched once: the search goes on behind it, whether it is taken or not.
+    """
     found, at = [], 0
     for m in _GIVEN.finditer(text):
         sign = m.start()
@@ -112,14 +118,17 @@ def _values(text: str) -> list[tuple[int, int]]:
         if value is None:
             continue
         a, b = value.span(value.lastindex)
-        # Of URLs, their own passwords and values count.
-        if text.startswith("//", a) or text.startswith("://", b) or "://" in value.group(value.lastindex):
+        # Of URLs, their own passwords and values count; names inside what is quoted are looked at by themselves.
+        if value.lastindex < 4:
+            if "//" not in text[a : a + 2] and text.find("://", a, b) < 0:
+                found.append((a, b))
+                at = b
             continue
-        if value.lastindex == 4:
-            b = a + len(_QUERY.split(text[a:b], maxsplit=1)[0].rstrip(_TAIL))
-        if a < b:
-            found.append((a, b))
-            at = b
+        at = b
+        if not text.startswith("://", b):
+            b = a + len(text[a:b].rstrip(_TAIL))
+            if a < b:
+                found.append((a, b))
     found += [m.span(1) for m in _URL.finditer(text)] if "://" in text else []
     return sorted(found)
 
@@ -375,7 +384,8 @@ def examples(contexts: Sequence[str], count: int) -> list[tuple[Finding, int]]:
 def labelled_findings(docs: DataFrame, sample: int = SAMPLE_FINDINGS) -> list[tuple[Finding, int]]:
     """Findings of the corpus that ``seed_label`` is sure of, ``sample`` of each label at most, and ``examples``.
 
-    All documents are scanned for them; a hash of the finding picks the sample.
+    They are looked for in about ``SAMPLE_DOCUMENTS`` different texts, which their hash draws; a hash of the finding picks the
+    sample.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,11 +395,16 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE_FINDINGS) -> list[tu
             for text in texts_of(batch, "text"):
                 for _, f in findings(text):
                     label = seed_label(f)
-                    if label is not None and len(f.value) <= 4096:
+                    if label is not None and len(f.value) <= LONGEST_TRAINED:
                         rows.append({"value": f.value, "before": f.before, "after": f.after, "label": label})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    found = docs.select("text").mapInArrow(run, "value string, before string, after string, label int").distinct()
+    rows = docs.count()
+    text = F.xxhash64("text")
+    drawn_texts = docs.filter(text <= hash_bound(min(1.0, SAMPLE_DOCUMENTS / max(1, rows)))).select("text")
+    # Copies of a text count once.
+    drawn_texts = drawn_texts.groupBy(text).agg(F.first("text").alias("text"))
+    found = drawn_texts.select("text").mapInArrow(run, "value string, before string, after string, label int").distinct()
     found = saved(found, "findings")
     order = F.xxhash64("value", "before")
     drawn: list[tuple[Finding, int]] = []
