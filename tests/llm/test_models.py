@@ -1,5 +1,8 @@
 """Trained operators: held-out quality, awkward rows; and the whole pipeline."""
 
+import hashlib
+import math
+import time
 import zlib
 from collections import Counter
 
@@ -62,6 +65,48 @@ def test_kept_languages_keep_columns(spark, model):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in sure.collect())
 
 
+def test_repeated_ids_and_rows_are_learned_from(spark):
+    """Thousands of rows of one language and a few of another under one id."""
+    english = [(7, prose(i % 3000, 30), "en") for i in range(6000)]
+    german = [(7, f"die stille Wolke über dem Fluss {i} und der alte Hafen", "de") for i in range(5)]
+    docs = spark.createDataFrame(english + german, "doc_id long, text string, lang string")
+    model = language.train(docs, F.lit(True), 100)
+    assert model.languages == ("de", "en")
+    again = language.train(docs.repartition(7), F.lit(True), 100)
+    assert (again.weights == model.weights).all() and (again.trust == model.trust).all()
+    rows = language.sampled(docs, F.lit(True), 100).collect()
+    assert Counter(r["lang"] for r in rows) == {"en": 50, "de": 5} and len({r["text"] for r in rows}) == 55
+
+
+def test_hundreds_of_languages_are_learned(spark):
+    rows = [(i, " ".join(chr(0x4E00 + 40 * (i % 300) + (i * j) % 40) for j in range(60)), f"l{i % 300:03}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, F.col("doc_id") < 900, 900)
+    assert len(model.languages) == 300
+    got = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").filter("doc_id >= 900").collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.9
+
+
+def test_predictions_are_those_of_the_weights(spark, model):
+    """Every prediction again, in plain Python from the fitted numbers."""
+    docs = documents(spark)
+    got = {r["doc_id"]: r for r in language.identify(docs, model).collect()}
+    for doc_id, text, *_ in rows():
+        vector = language.counts(text or "")
+        if vector is None:
+            assert (got[doc_id]["lang_pred"], got[doc_id]["score"]) == (language.UNKNOWN, 0.0)
+            continue
+        margins = [sum(v * w for v, w in zip(vector.tolist(), column)) for column in model.weights.T.tolist()]
+        distances = []
+        for code, trust in zip(model.code.tolist(), model.trust.tolist()):
+            lost = [np.log1p(np.exp(-c * (m + b))) for c, m, b in zip(code, margins, model.bias.tolist())]
+            distances.append(sum(t * x for t, x in zip(trust, lost)))
+        best = int(np.argmin(distances))
+        score = 1 / sum(np.exp(distances[best] - d) for d in distances)
+        assert got[doc_id]["lang_pred"] == model.languages[best]
+        assert got[doc_id]["score"] == pytest.approx(score, abs=1e-4)
+
+
 @pytest.mark.parametrize("n", [1, 2, 4, 7, 20])
 def test_codewords_differ(n):
     code = language.codewords(n)
@@ -252,9 +297,91 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_pipeline_over_awkward_rows(spark, tmp_path):
-    for number, made in enumerate((clashing(documents(spark)), nothing(spark))):
-        docs = made
-        for name, stage in corpus_pipeline.STAGES:
-            path = str(tmp_path / f"{number}-{name}")
-            stage(spark, docs, SF).write.parquet(path)
-            docs = spark.read.parquet(path)
+    docs, stages = clashing(documents(spark)), {}
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path / name)
+        before = docs
+        stage(spark, docs, SF).write.parquet(path)
+        docs = stages[name] = spark.read.parquet(path)
+        if name != "packing":
+            assert docs.schema.names == before.schema.names
+
+    def ids(name):
+        return Counter(r["doc_id"] for r in stages[name].select("doc_id").collect())
+
+    texts = {i: t or "" for i, t, *_ in rows()}
+    # Prose and the very long text of words are known; what has no letter is not.
+    assert set(ids("language_id")) >= {0, 1, 2, 11, -5, None}
+    assert all(any(c.isalpha() for c in texts[i]) for i in ids("language_id"))
+    # Row 2 says the same twice.
+    assert ids("quality_rules") <= ids("language_id") and set(ids("quality_rules")) == {0, 1, 11, -5, None}
+    assert all(len(texts[i].split()) >= 50 for i in ids("quality_rules"))
+    # Rows 0, its repetition and 1 have one text; the null id cannot be named, and stays.
+    assert ids("near_duplicates") == Counter(set(ids("quality_rules")) - {1})
+    assert ids("secret_scan") == ids("near_duplicates")
+    pieces = stages["packing"].collect()
+    lengths = Counter()
+    for r in pieces:
+        lengths[r["doc_id"]] += r["length"]
+    assert set(lengths) == set(ids("secret_scan"))
+    assert all(lengths[r["doc_id"]] == r["doc_tokens"] for r in pieces)
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path):
+    docs = nothing(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path / name)
+        stage(spark, docs, SF).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.count() == 0
+
+
+def test_scan_is_that_of_every_text(spark, forest):
+    """Every row of the scan again, text by text, in plain Python."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = []
+    for r in docs.collect():
+        for start, f in secrets.findings(r["text"] or ""):
+            value = float(forest.score(np.array([secrets.features(f)], dtype=float))[0])
+            digest = hashlib.sha256(f.value.encode()).hexdigest()
+            want.append((r["doc_id"], start, len(f.value), digest, round(value, 9), value >= 0.5))
+    got = [(*tuple(r)[:4], round(r["score"], 9), r["is_secret"]) for r in secrets.scan(docs, forest).collect()]
+    assert want and Counter(got) == Counter(want)
+
+
+@pytest.mark.parametrize(
+    "part", ["key=", "key=a&", "key=//", 'key: "', "a:b@", 'key="', "://a:", "token:", 'key="key=a', "password: bearer "]
+)
+def test_scanning_takes_time_in_proportion(part):
+    took = []
+    for n in (50_000, 200_000):
+        text = part * (n // len(part)) + "x://"
+        start = time.process_time()
+        list(secrets.findings(text))
+        took.append(time.process_time() - start)
+    assert took[1] < 10 * took[0] + 0.5
+
+
+def test_a_megabyte_of_names_before_an_address():
+    start = time.process_time()
+    list(secrets.findings("key=" * 250_000 + "x://"))
+    assert time.process_time() - start < 2
+
+
+def test_values_of_a_query_end_with_the_next_name():
+    text = "https://a.com/x?token=Zk81mfQ0apLw7RtY&redirect=http://b.com&next=1"
+    assert "Zk81mfQ0apLw7RtY" in {f.value for _, f in secrets.findings(text)}
+
+
+def test_scores_are_those_of_the_weights():
+    """Scores again, in plain Python from the fitted numbers: the most toxic window of eight words, every fourth one."""
+    texts = [f"{prose(i, 10 + i % 50)} {'gobbledork' if i % 2 else ''} {prose(-i, 40)}" for i in range(100)]
+    model = toxicity.fit(texts, np.arange(100) % 2)
+    scorer = toxicity.Scorer(model)
+    for text in (texts[0], texts[1], prose(7, 3), "one", prose(8, 9)):
+        words = [w for t in toxicity.tokens_of(text) for w in toxicity.words_of(t)]
+        best = -math.inf
+        for start in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STEP), toxicity.STEP):
+            grams = [g for w in words[start : start + toxicity.WINDOW] for g in toxicity.subwords(w)]
+            best = max(best, sum(model.pull[g] for g in grams) / len(grams))
+        assert scorer(text) == pytest.approx(1 / (1 + math.exp(-best - model.bias)), abs=1e-9)
