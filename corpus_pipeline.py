@@ -1,4 +1,11 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again before the next."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again before the next.
+
+Documents whose language is not known go, and with them null and empty texts and texts without a letter; then those that
+fail the quality rules, among them all of fewer than 50 words.  Of rows that repeat an id, and of texts that are near
+copies, one stays, that of the least id; rows without an id stay.  Secrets are masked in what is left, and its tokens are
+packed.  Texts may be of any length; other columns are carried to the last stage but one, whatever their names; an empty
+table makes empty stages.
+"""
 
 from __future__ import annotations
 
