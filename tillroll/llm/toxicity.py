@@ -15,6 +15,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ LEAST_TEXTS = 3
 WINDOW, STEP = 8, 4
 #: Windows of a text without the label that each round learns from: those it finds most toxic.
 HARD_WINDOWS = 3
+#: Windows that the fit takes at a time.
+BLOCK_WINDOWS = 1 << 15
 #: Entries of the newer half of a worker's cache of token values.
 CACHE = 100_000
 
@@ -102,21 +105,37 @@ class _Bags:
         """Average vector and number of subwords of every window."""
         starts = np.cumsum(self.widths) - self.widths
         of_word = np.add.reduceat(vectors[self.grams], starts, axis=0)
-        sums = np.concatenate([np.zeros((1, vectors.shape[1])), np.cumsum(of_word[self.words], axis=0)])
-        sizes = np.concatenate([[0], np.cumsum(self.widths[self.words])])
-        counts = np.maximum(sizes[self.ends] - sizes[self.begins], 1)
-        return (sums[self.ends] - sums[self.begins]) / counts[:, None], counts
+        found = np.empty((len(self.begins), vectors.shape[1]))
+        counts = np.empty(len(self.begins))
+        for block in self._blocks():
+            first, last = self.begins[block].min(), self.ends[block].max()
+            words = self.words[first:last]
+            sums = np.zeros((len(words) + 1, vectors.shape[1]))
+            np.cumsum(of_word[words], axis=0, out=sums[1:])
+            sizes = np.concatenate([[0], np.cumsum(self.widths[words])])
+            begins, ends = self.begins[block] - first, self.ends[block] - first
+            counts[block] = np.maximum(sizes[ends] - sizes[begins], 1)
+            found[block] = (sums[ends] - sums[begins]) / counts[block][:, None]
+        return found, counts
+
+    def _blocks(self) -> Iterator[slice]:
+        for start in range(0, len(self.begins), BLOCK_WINDOWS):
+            yield slice(start, start + BLOCK_WINDOWS)
 
     def spread(self, windows: np.ndarray, pulls: np.ndarray) -> np.ndarray:
         """Sum over the windows of their pull on each bucket."""
-        lengths = self.ends[windows] - self.begins[windows]
-        owner = np.repeat(np.arange(len(windows)), lengths)
-        places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        words = self.words[np.repeat(self.begins[windows], lengths) + places]
+        of_word = np.zeros((len(self.widths), pulls.shape[1]))
+        for start in range(0, len(windows), BLOCK_WINDOWS):
+            part = windows[start : start + BLOCK_WINDOWS]
+            lengths = self.ends[part] - self.begins[part]
+            owner = np.repeat(np.arange(start, start + len(part)), lengths)
+            places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            words = self.words[np.repeat(self.begins[part], lengths) + places]
+            for d in range(pulls.shape[1]):
+                of_word[:, d] += np.bincount(words, pulls[owner, d], len(self.widths))
         of_bucket = np.zeros((BUCKETS, pulls.shape[1]))
         for d in range(pulls.shape[1]):
-            of_word = np.bincount(words, pulls[owner, d], len(self.widths))
-            of_bucket[:, d] = np.bincount(self.grams, of_word[self.owners], BUCKETS)
+            of_bucket[:, d] = np.bincount(self.grams, of_word[self.owners, d], BUCKETS)
         return of_bucket
 
 
@@ -208,32 +227,63 @@ class Scorer:
 
     def _value(self, token: str) -> list[complex]:
         """Sum of pulls (real) and number of subwords (imaginary) of each word in the token."""
-        found = []
-        for word in words_of(token):
-            grams = subwords(word)
-            found.append(complex(sum(map(self.pull.__getitem__, grams)), len(grams)))
-        return found
+        value = self.known.get(token)
+        if value is None:
+            value = self.older.get(token)
+            if value is None:
+                value = []
+                for word in words_of(token):
+                    grams = subwords(word)
+                    value.append(complex(sum(map(self.pull.__getitem__, grams)), len(grams)))
+            self.known[token] = value
+        return value
 
     def __call__(self, text: str) -> float:
-        if self.model is None:
-            return 0.0
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str]) -> list[float]:
+        """The score of every text: of its most toxic window, 0 without a word.  Tokens are split and looked up together."""
+        if self.model is None or not texts:
+            return [0.0] * len(texts)
         if len(self.known) > CACHE:
             # What is not asked for again while the newer half fills is forgotten.
             self.known, self.older = {}, self.known
-        values = []
-        for token in tokens_of(text):
-            value = self.known.get(token)
-            if value is None:
-                value = self.older.get(token)
-                value = self.known[token] = self._value(token) if value is None else value
-            values += value
-        if not values:
-            return 0.0
-        sums = np.concatenate([[0], np.cumsum(np.array(values, dtype=np.complex128))])
-        begins = np.array(window_starts(len(values)))
-        windows = sums[np.minimum(begins + WINDOW, len(values))] - sums[begins]
-        margin = (windows.real / np.maximum(windows.imag, 1)).max() + self.model.bias
-        return float(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
+        joined = pa.array([" ".join(t.lower().split()) for t in texts], pa.large_string())
+        split = pc.split_pattern(joined, " ")
+        offsets = split.offsets.to_numpy()
+        numbered = pc.dictionary_encode(split.flatten())
+        values = list(map(self._value, numbered.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        which = numbered.indices.to_numpy()
+        # A token right after its equal counts once.
+        counts = np.ones(len(which), dtype=bool)
+        counts[1:] = which[1:] != which[:-1]
+        counts[offsets[:-1]] = True
+        owners = np.repeat(np.arange(len(texts)), np.diff(offsets))[counts]
+        which = which[counts]
+        sizes = np.fromiter(map(len, values), np.int64, len(values))
+        flat = np.array([v for value in values for v in value], dtype=np.complex128)
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[which] - ends + lengths, lengths)
+        words = np.concatenate([flat[places], np.zeros(WINDOW)])
+        own = np.bincount(owners, lengths, len(texts)).astype(np.int64)
+        return self._most_toxic(words, own).tolist()
+
+    def _most_toxic(self, words: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Scores of texts that have ``own`` words each, one after the other."""
+        begins = np.cumsum(own) - own
+        windows = np.where(own > 0, -(-np.maximum(1, own - WINDOW + STEP) // STEP), 0)
+        of = np.repeat(np.arange(len(own)), windows)
+        starts = begins[of] + STEP * (np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows))
+        stops = np.minimum(starts + WINDOW, (begins + own)[of])
+        best = np.full(len(own), -np.inf)
+        for at in range(0, len(of), BLOCK_WINDOWS):
+            block = slice(at, at + BLOCK_WINDOWS)
+            inside = starts[block, None] + np.arange(WINDOW)
+            sums = np.where(inside < stops[block, None], words[inside], 0).sum(axis=1)
+            np.maximum.at(best, of[block], sums.real / np.maximum(sums.imag, 1))
+        scores = 1 / (1 + np.exp(-np.clip(best + self.model.bias, -500, 500)))
+        return np.where(own > 0, scores, 0.0)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -246,7 +296,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in small_batches(batches, "text"):
-            found = [scorer(t) for t in texts_of(batch, "text")]
+            found = scorer.scores(texts_of(batch, "text"))
             yield record_batch(schema, {"doc_id": batch.column("doc_id"), "score": found})
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
