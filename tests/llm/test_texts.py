@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from compare import connect, differences
 from corpus import WORDS, clashing, documents, found, nothing, prose, rows
@@ -87,6 +88,25 @@ def test_unlabelled_texts_of_a_labelled_language_without_a_list(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 10]
 
 
+def test_statement_and_query_agree_on_labels(spark, tmp_path):
+    """Labels with a list, without one, with a region, unknown and none; and no row changes another's measures."""
+    data = [
+        (10 * i + j, text, lang, "s")
+        for i, lang in enumerate(["ru", "it", None, "en-GB", "EN", "und", "", "de", "pt-BR"])
+        for j, text in enumerate([shuffled(1, RUSSIAN), shuffled(2, ITALIAN), prose(3, 90), " ".join(f"w{k}" for k in range(60))])
+    ]
+    data += [(1000 + r[0], *r[1:]) for r in rows() if r[0] is not None]
+    docs = documents(spark, data)
+    docs.coalesce(1).write.parquet(str(tmp_path / "made"))
+    (file,) = (tmp_path / "made").glob("*.parquet")
+    file.rename(tmp_path / "documents.parquet")
+    got = queries.op1_quality_rules(spark, str(tmp_path))
+    assert differences(got, connect(str(tmp_path)), queries.statements()["op1_quality_rules"]) == []
+    assert {r["doc_id"] for r in got.filter("kept").collect()} >= {0, 10, 20}
+    alone = quality.quality_report(documents(spark, data[5:6])).first()
+    assert alone == got.filter(F.col("doc_id") == data[5][0]).first()
+
+
 def test_kept_rows_keep_their_columns(spark):
     docs = clashing(documents(spark))
     kept = quality.keep_good(docs)
@@ -116,8 +136,41 @@ def hash_longs(values, seed=42):
     return signed(seed)
 
 
+UNSPACED = regex.compile(
+    r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\u3000-\u303F\u30FC\uFF00-\uFFEF]"
+)
+ENDS = set("aeuAEOU05/") | {chr(c) for a, b in ("!-", ":@", "[`", "{~") for c in range(ord(a), ord(b) + 1)}
+
+
+def cut_by_content(part):
+    """Characters beyond ASCII one by one; others up to one of ENDS, or 16 where there is none."""
+    found = []
+    while part:
+        n = 1
+        if part[0] <= "\x7f":
+            ascii_ = next((i for i, c in enumerate(part[:16]) if c > "\x7f"), min(16, len(part)))
+            n = next((i + 1 for i, c in enumerate(part[:ascii_]) if c in ENDS), ascii_)
+        found.append(part[:n])
+        part = part[n:]
+    return found
+
+
+def plain_symbols(text):
+    found = []
+    for word in re.findall(r"[^ \t-\r]+", text):
+        unspaced = [bool(UNSPACED.match(c)) for c in word]
+        runs = any(all(unspaced[i : i + 4]) for i in range(min(33, len(word) - 3)))
+        if runs or len(word) > 32:
+            found += cut_by_content(word)
+        elif any(unspaced):
+            found += [word[:16], *cut_by_content(word[16:])]
+        else:
+            found += [w for w in (word[:16], word[16:]) if w]
+    return found
+
+
 def plain_anchors(text):
-    symbols = [signed(xxhash.xxh64_intdigest(s.encode(), seed=42)) for s in re.findall(r"[^ \t-\r]{1,16}", text)]
+    symbols = [signed(xxhash.xxh64_intdigest(s.encode(), seed=42)) for s in plain_symbols(text)]
     parts = [hash_longs(symbols[i : i + 2]) for i in range(len(symbols) - 1)]
     w, anchors = syncmers.PARTS, []
     for i in range(len(parts) - w + 1):
@@ -196,6 +249,21 @@ def test_unspaced_passages_have_their_anchors_at_any_offset(spark, kind):
         assert len(set(got[0]) & set(got[i])) > 0.8 * len(set(got[0])), i
 
 
+def test_unspaced_and_mixed_texts_as_in_plain_python(spark):
+    rng = random.Random(4)
+    kinds = ("han", "thai", "kana", "base64", "code")
+    data = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randint(1, 25)):
+            word = rng.choice([prose(rng.random(), 1), unspaced(rng.choice(kinds), rng.randint(1, 50)), "ÀÉ" * rng.randint(1, 20)])
+            words.append(word + rng.choice(["", "", unspaced("han", rng.randint(1, 5)), "é", ",x", "\x01"]))
+        data.append((i, rng.choice([" ", "\n", "\t "]).join(words), "en", "s"))
+    docs = documents(spark, data)
+    got = dict(syncmers.anchors(docs, "text", "anchors").select("doc_id", "anchors").collect())
+    assert got == {i: plain_anchors(text) for i, text, *_ in data}
+
+
 def test_short_lines_of_unspaced_scripts_match_too(spark):
     lines = [unspaced("han", 12 + i % 4) for i in range(40)]
     pairs = ["\n".join(lines), "\n".join(["起" + line for line in lines])]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import settled
@@ -26,8 +26,6 @@ STOP_WORDS = {
     "fr": "de la le et les des en un une du est que qui dans pour par sur au plus ne pas ce il se sont avec à leur",
     "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este es",
 }
-#: Words taken from the corpus for each other language that labels name, for its texts without a label.
-LEARNED_WORDS = 40
 LANG = "lang"
 
 
@@ -77,29 +75,7 @@ def _listed() -> Column:
     return F.when(~name.isin("", "und"), name.isin(sorted(STOP_WORDS)))
 
 
-def learned_stop_words(docs: DataFrame, text: str = "text") -> list[str]:
-    """The words that stand in the most documents of each labelled language without a list, over all documents.
-
-    They are needed for rows without a label alone: no text is read unless some rows have a label without a list and
-    others have none.
-    """
-    if LANG not in docs.columns:
-        return []
-    asked = docs.agg(F.max(~_listed()).alias("other"), F.max(_listed().isNull()).alias("none")).first()
-    if not (asked["other"] and asked["none"]):
-        return []
-    words = docs.filter(~_listed()).select(
-        F.col(LANG).alias("lang"),
-        F.explode(F.array_distinct(F.array_remove(F.split(F.lower(text), f"[{SPACE}]+"), ""))).alias("word"),
-    )
-    # Function words are letters alone, with marks and apostrophes.
-    counted = words.filter(r"word rlike '^[\\p{L}\\p{M}\']+$'").groupBy("lang", "word").count()
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
-    most = counted.select("word", place.alias("place")).filter(F.col("place") <= LEARNED_WORDS)
-    return sorted({r["word"] for r in most.collect()})
-
-
-def measures(docs: DataFrame, carried: Sequence[str], text: str = "text", stop_words: Sequence[str] = ()) -> DataFrame:
+def measures(docs: DataFrame, carried: Sequence[str], text: str = "text") -> DataFrame:
     """The columns ``carried`` with the counts of the text and the ratios that rules name.
 
     Words are runs of characters other than space and the five ASCII controls from tab to carriage return; lines are
@@ -109,7 +85,7 @@ def measures(docs: DataFrame, carried: Sequence[str], text: str = "text", stop_w
     Three-word windows are compared as 64-bit hashes: equal windows always meet, and any two different windows of one
     text meet with a chance of n_words squared in 2 to the 65.
     """
-    stops = list(stop_words) or sorted({w for words in STOP_WORDS.values() for w in words.split()})
+    stops = sorted({w for words in STOP_WORDS.values() for w in words.split()})
     lang = F.col(LANG).cast("string") if LANG in docs.columns else F.lit(None).cast("string")
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)]).alias("row")
     split = docs.select(row, lang.alias(LANG), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
@@ -184,9 +160,7 @@ def judged(docs: DataFrame, carried: Sequence[str], rules: Sequence[Rule] = RULE
 
     A rule on ``stop_word_ratio`` holds only where ``stop_words_known``.
     """
-    learned = learned_stop_words(docs, text) if any(r.metric == "stop_word_ratio" for r in rules) else []
-    known = {w for words in STOP_WORDS.values() for w in words.split()}
-    measured = measures(docs, carried, text, sorted(known.union(learned)))
+    measured = measures(docs, carried, text)
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEATED) * F.col("n_words")
     )
@@ -201,7 +175,11 @@ def judged(docs: DataFrame, carried: Sequence[str], rules: Sequence[Rule] = RULE
 
 
 def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Every document's counts, ratios and verdict."""
+    """Every document's counts, ratios and verdict, from its own text and label alone.
+
+    A null or empty text has no words and fails the base, as all below ``MIN_WORDS`` do.  Texts may be of any length.  Repeated
+    rows are repeated, an empty table gives an empty report, and other columns are not looked at.
+    """
     ratios = sorted({r.metric for r in rules} - set(_COUNTS))
     return judged(docs, ["doc_id"], rules).select(
         F.col("row.c0").alias("doc_id"), *_COUNTS, "base_failed", "kept", F.array_join("failed", " ").alias("failed"),
@@ -210,6 +188,6 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows of ``docs`` whose text passes the base and the rules, with all their columns."""
+    """The rows of ``docs`` whose text passes the base and the rules, with all their columns, whatever their names."""
     kept = judged(docs, docs.columns, rules).filter("kept")
     return kept.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

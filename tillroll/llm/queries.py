@@ -112,12 +112,14 @@ def all_queries() -> dict[str, Query]:
 
 def _op1_statement() -> str:
     stops = ", ".join(f"'{w}'" for w in sorted({w for words in quality.STOP_WORDS.values() for w in words.split()}))
+    listed = ", ".join(f"'{name}'" for name in sorted(quality.STOP_WORDS))
     tests = []
     for rule in quality.RULES:
         limits = [f"{rule.metric} < {rule.least}"] * (rule.least is not None) + [f"{rule.metric} > {rule.most}"] * (
             rule.most is not None
         )
-        tests.append(f"CASE WHEN {' OR '.join(limits)} THEN '{rule.metric}' END")
+        held = "stop_words_known AND " if rule.metric == "stop_word_ratio" else ""
+        tests.append(f"CASE WHEN {held}({' OR '.join(limits)}) THEN '{rule.metric}' END")
     ratios = {
         "mean_word_length": "word_chars / n_words",
         "symbol_ratio": "n_symbols / n_words",
@@ -133,9 +135,14 @@ def _op1_statement() -> str:
     )
     return rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r,
+    lower(regexp_extract(coalesce(lang, ''), '^[A-Za-z]*')) AS named
+  FROM documents
 ), s AS (
-  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+  SELECT *,
+    CASE WHEN named NOT IN ('', 'und') THEN named IN ({listed})
+      ELSE 2 * length(regexp_replace(text, '[^\p{{Latin}}]+', '', 'g')) >= length(regexp_replace(text, '[^\p{{L}}]+', '', 'g'))
+    END AS stop_words_known, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d
 ), windows AS (
@@ -146,7 +153,7 @@ WITH d AS (
   FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS times FROM windows), range(0, 3) AS t(k)
   WHERE times > 1 GROUP BY r
 ), counted AS (
-  SELECT doc_id, len(words) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  SELECT doc_id, stop_words_known, len(words) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^{quality.SYMBOLS}]+', '', 'g')) AS BIGINT) AS n_symbols,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
     len(lines) AS n_lines, length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) AS n_upper,
