@@ -1,6 +1,6 @@
 """Mixture-controlled packing: deficit round-robin over source queues, and sequences of a fixed length.
 
-Each source is a queue of its documents, in the order of a hash of their ids.  A window is a run of sequences.  Every
+Each source is a queue of its documents, in the order of a hash of their ids and tokens.  A window is a run of sequences.  Every
 window takes from each queue its target share of the window's tokens; what rounding leaves over or short is the queue's
 deficit and is carried into the next window.  When a queue runs dry, the others share its part in proportion, and a new
 phase begins.
@@ -198,7 +198,8 @@ def pack(
     A document's tokens are its ids and then ``end``; null and empty texts have that alone.  Pieces are cut where windows
     and sequences end, and every sequence but the last is full, so only the last is padded.  ``weights`` are target
     proportions by source (0 for those not named); without them, the corpus's own.  A null source is a source.
-    Rows with equal ids stand beside each other in their queue.  Repeated rows are packed as often as they occur.
+    Rows without an id, and rows that repeat one, are placed by their tokens as well.  Repeated rows stand beside each other in
+    their queue and are packed as often as they occur.
 
     Tokens are written once; the tokens before a document are the sum over groups of documents before its own, and a
     running sum within the group, which a hash of the ids keeps small however large a source is.
@@ -224,7 +225,7 @@ def pack(
     queue = F.when(F.col("source").isNull(), F.lit(null_place)).when(at > 0, place).otherwise(F.lit(last))
     rows = tokens.count()
     bits = min(MOST_BUCKETS, max(1, rows // BUCKET_DOCS)).bit_length() - 1
-    order = F.xxhash64("doc_id")
+    order = F.xxhash64("doc_id", "ids")
     bucket = F.expr(f"shiftrightunsigned(order, {64 - bits})") if bits else F.lit(0).cast("long")
     placed = tokens.withColumns({"queue": queue.cast("int"), "order": order}).withColumn("bucket", bucket)
 
