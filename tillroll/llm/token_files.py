@@ -170,7 +170,9 @@ def write(docs: DataFrame, tokenizer: str, end: int, folder: str | None = None)
         if doc_ids:
             yield close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The beginnings of texts part the rows that repeat an id or have none; they sort as the texts do.
+    ranges = ("doc_id", F.substring("text", 1, 64))
+    ordered = docs.select("doc_id", "text").repartitionByRange(*ranges).sortWithinPartitions("doc_id", "text")
     files = saved(ordered.mapInArrow(run, "partition int, part int, path string, docs long, ids long"), "token-list")
     return _with_base(files, folder)
 
