@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import time
 import zlib
 from collections import Counter
@@ -385,3 +386,30 @@ def test_scores_are_those_of_the_weights():
             grams = [g for w in words[start : start + toxicity.WINDOW] for g in toxicity.subwords(w)]
             best = max(best, sum(model.pull[g] for g in grams) / len(grams))
         assert scorer(text) == pytest.approx(1 / (1 + math.exp(-best - model.bias)), abs=1e-9)
+
+
+def test_words_looked_up_together_have_their_subwords(monkeypatch):
+    rng = random.Random(3)
+    some = ["".join(rng.choices("abcdefgé日ß𝒜", k=rng.randint(1, 12))) for _ in range(300)]
+    words = ["a", "ab", "abc", "abcd", "banana", "z" * 90, "é", "é日", "größe", "日本語テスト", "𝒜𝒷𝒸𝒹𝒺", "abc", *some, "x"]
+    pull = np.random.default_rng(0).normal(size=toxicity.BUCKETS)
+    for size in (toxicity.BLOCK_BYTES, 200, 30, 1):
+        monkeypatch.setattr(toxicity, "BLOCK_BYTES", size)
+        found = toxicity.word_values(words, pull)
+        for word, value in zip(words, found.tolist(), strict=True):
+            grams = toxicity.subwords(word)
+            assert value.imag == len(grams)
+            assert value.real == pytest.approx(sum(pull[g] for g in grams), abs=1e-9)
+    assert len(toxicity.word_values([], pull)) == 0
+
+
+def test_new_words_are_not_taken_apart_one_by_one():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäéñß", k=rng.randint(4, 14))) for _ in range(60_000)]
+    scorer = toxicity.Scorer(toxicity.Model(np.ones(toxicity.BUCKETS), 0.0))
+    start = time.process_time()
+    scorer.scores([" ".join(words[i : i + 100]) for i in range(0, len(words), 100)])
+    together = time.process_time() - start
+    for word in words:
+        toxicity.subwords(word)
+    assert together < 0.9 * (time.process_time() - start - together)

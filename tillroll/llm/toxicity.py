@@ -11,7 +11,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,8 @@ WINDOW, STEP = 8, 4
 HARD_WINDOWS = 3
 #: Windows that the fit takes at a time.
 BLOCK_WINDOWS = 1 << 15
-#: Entries of the newer half of a worker's cache of token values.
-CACHE = 100_000
+#: Bytes of words whose n-grams are hashed together; a longer word is taken apart by itself.
+BLOCK_BYTES = 1 << 18
 
 _WARM_UP, _ROUNDS = 3, 40
 _RATE = 0.5
@@ -53,6 +53,73 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(g.encode("utf-8", "replace")) & (BUCKETS - 1) for g in grams | {marked}]
 
 
+#: The table of the byte-wise CRC-32.
+_CRC = np.array([zlib.crc32(bytes([b ^ 0xFF])) ^ 0xFF000000 for b in range(256)], dtype=np.uint32)
+
+
+def word_values(words: list[str], pull: np.ndarray) -> np.ndarray:
+    """Sum of pulls (real) and number of subwords (imaginary) of every word."""
+    marked = [f"<{w}>".encode("utf-8", "replace") for w in words]
+    ends = np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))
+    found = np.empty(len(words), dtype=np.complex128)
+    start = 0
+    while start < len(words):
+        held = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, held + BLOCK_BYTES, "right"))
+        if stop > start:
+            found[start:stop], again = _block_values(marked[start:stop], ends[start:stop] - held, pull)
+            again = (again + start).tolist()
+        else:
+            stop, again = start + 1, [start]
+        for i in again:
+            grams = subwords(words[i])
+            found[i] = complex(pull[grams].sum(), len(grams))
+        start = stop
+    return found
+
+
+def _block_values(marked: list[bytes], ends: np.ndarray, pull: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of words that hold no n-gram twice, and the places of those that may: their values are not right.
+
+    The CRC-32 of all n-grams that begin at a character are one walk of ``LONGEST`` characters, for all of them at once.
+    """
+    held = np.frombuffer(b"".join(marked), np.uint8)
+    first = np.flatnonzero((held & 0xC0) != 0x80)
+    widths = np.diff(first, append=len(held))
+    begins = np.searchsorted(first, ends - np.diff(ends, prepend=0))
+    lengths = np.diff(begins, append=len(first))
+    owners = np.repeat(np.arange(len(marked)), lengths)
+    left = np.repeat(begins + lengths, lengths) - np.arange(len(first))
+    crc = np.full(len(first), 0xFFFFFFFF, dtype=np.uint32)
+    # Bytes of the characters from the k-th on, and which of them have a second, third and fourth one.
+    wide = [np.flatnonzero(widths > n) for n in range(1, 4)]
+    sums, counts = np.zeros(len(marked)), np.zeros(len(marked))
+    again = np.empty(0, dtype=np.int64)
+    for n in range(1, LONGEST + 1):
+        own = max(0, len(first) - n + 1)
+        crc = crc[:own]
+        crc = _CRC[(crc ^ held[first[n - 1 :]]) & 0xFF] ^ (crc >> 8)
+        for more, places in enumerate(wide, 1):
+            places = places[np.searchsorted(places, n - 1) :]
+            part = crc[places - n + 1]
+            crc[places - n + 1] = _CRC[(part ^ held[first[places] + more]) & 0xFF] ^ (part >> 8)
+        if n >= SHORTEST:
+            inside = np.flatnonzero(left[:own] >= n)
+            grams, of = ~crc[inside], owners[inside]
+            sums += np.bincount(of, pull[grams & (BUCKETS - 1)], len(marked))
+            counts += np.maximum(lengths - n + 1, 0)
+        if n == SHORTEST:
+            # What repeats a longer n-gram repeats a shortest one.
+            keys = np.sort((of.astype(np.uint64) << 32) | grams)
+            again = np.unique(keys[1:][keys[1:] == keys[:-1]] >> 32).astype(np.int64)
+    # A word of up to ``LONGEST`` characters with its marks is an n-gram of itself.
+    long = np.flatnonzero(lengths > LONGEST)
+    whole = np.fromiter((zlib.crc32(marked[i]) for i in long.tolist()), np.int64, len(long))
+    sums[long] += pull[whole & (BUCKETS - 1)]
+    counts[long] += 1
+    return sums + 1j * counts, again
+
+
 #: Runs of letters and digits.
 words_of = re.compile(r"[^\W_]+").findall
 
@@ -217,26 +284,10 @@ def train(docs: DataFrame, labels: DataFrame, learned: Column, sample_rows: int
 
 
 class Scorer:
-    """Scores whole texts; each distinct token is taken apart once per worker, as long as it is kept."""
+    """Scores whole texts; each distinct token of a batch is taken apart once."""
 
     def __init__(self, model: Model | None):
         self.model = model
-        self.pull = model.pull.tolist() if model else []
-        self.known: dict[str, list[complex]] = {}
-        self.older: dict[str, list[complex]] = {}
-
-    def _value(self, token: str) -> list[complex]:
-        """Sum of pulls (real) and number of subwords (imaginary) of each word in the token."""
-        value = self.known.get(token)
-        if value is None:
-            value = self.older.get(token)
-            if value is None:
-                value = []
-                for word in words_of(token):
-                    grams = subwords(word)
-                    value.append(complex(sum(map(self.pull.__getitem__, grams)), len(grams)))
-            self.known[token] = value
-        return value
 
     def __call__(self, text: str) -> float:
         return self.scores([text])[0]
@@ -245,14 +296,11 @@ class Scorer:
         """The score of every text: of its most toxic window, 0 without a word.  Tokens are split and looked up together."""
         if self.model is None or not texts:
             return [0.0] * len(texts)
-        if len(self.known) > CACHE:
-            # What is not asked for again while the newer half fills is forgotten.
-            self.known, self.older = {}, self.known
         joined = pa.array([" ".join(t.lower().split()) for t in texts], pa.large_string())
         split = pc.split_pattern(joined, " ")
         offsets = split.offsets.to_numpy()
         numbered = pc.dictionary_encode(split.flatten())
-        values = list(map(self._value, numbered.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        parts = list(map(words_of, numbered.dictionary.to_numpy(zero_copy_only=False).tolist()))
         which = numbered.indices.to_numpy()
         # A token right after its equal counts once.
         counts = np.ones(len(which), dtype=bool)
@@ -260,8 +308,8 @@ class Scorer:
         counts[offsets[:-1]] = True
         owners = np.repeat(np.arange(len(texts)), np.diff(offsets))[counts]
         which = which[counts]
-        sizes = np.fromiter(map(len, values), np.int64, len(values))
-        flat = np.array([v for value in values for v in value], dtype=np.complex128)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = word_values(list(chain.from_iterable(parts)), self.model.pull)
         lengths = sizes[which]
         ends = np.cumsum(lengths)
         places = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[which] - ends + lengths, lengths)
