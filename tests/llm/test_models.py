@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -413,3 +414,17 @@ def test_new_words_are_not_taken_apart_one_by_one():
     for word in words:
         toxicity.subwords(word)
     assert together < 0.9 * (time.process_time() - start - together)
+
+
+def test_vectors_of_all_subwords_are_not_held_at_once():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(6, 14))) for _ in range(60_000)]
+    bags = toxicity._Bags([" ".join(words[i : i + 100]) for i in range(0, len(words), 100)])
+    vectors = np.random.default_rng(0).normal(size=(toxicity.BUCKETS, toxicity.DIMENSIONS))
+    tracemalloc.start()
+    averages, counts = bags.averages(vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.5 * len(bags.grams) * vectors[0].nbytes
+    grams = [g for w in words[:8] for g in toxicity.subwords(w)]
+    assert counts[0] == len(grams) and averages[0] == pytest.approx(vectors[grams].mean(axis=0))

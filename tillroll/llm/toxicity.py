@@ -32,8 +32,9 @@ LEAST_TEXTS = 3
 WINDOW, STEP = 8, 4
 #: Windows of a text without the label that each round learns from: those it finds most toxic.
 HARD_WINDOWS = 3
-#: Windows that the fit takes at a time.
+#: Windows that the fit takes at a time, and words whose vectors it sums at a time.
 BLOCK_WINDOWS = 1 << 15
+BLOCK_WORDS = 1 << 13
 #: Bytes of words whose n-grams are hashed together; a longer word is taken apart by itself.
 BLOCK_BYTES = 1 << 18
 
@@ -150,14 +151,14 @@ class _Bags:
         sequences = [
             [numbers.setdefault(w, len(numbers)) for t in tokens_of(text) for w in words_of(t)] for text in texts
         ]
-        bags = [subwords(w) for w in numbers]
-        self.grams = np.array([g for bag in bags for g in bag], dtype=np.intp)
+        bags = [np.array(subwords(w), dtype=np.int32) for w in numbers]
+        self.grams = np.concatenate([np.empty(0, dtype=np.intp), *bags])
         self.widths = np.array([len(bag) for bag in bags])
         self.owners = np.repeat(np.arange(len(bags)), self.widths)
         self.words = np.array([w for s in sequences for w in s], dtype=np.intp)
         texts_with = np.zeros(BUCKETS, dtype=np.int64)
         for s in sequences:
-            texts_with[list({g for w in set(s) for g in bags[w]})] += 1
+            texts_with[np.concatenate([self.grams[:0], *(bags[w] for w in set(s))])] += 1
         self.shared = (texts_with >= LEAST_TEXTS)[:, None]
         begins, ends, docs, at = [], [], [], 0
         for doc, s in enumerate(sequences):
@@ -170,8 +171,13 @@ class _Bags:
 
     def averages(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Average vector and number of subwords of every window."""
-        starts = np.cumsum(self.widths) - self.widths
-        of_word = np.add.reduceat(vectors[self.grams], starts, axis=0)
+        ends = np.cumsum(self.widths)
+        of_word = np.empty((len(self.widths), vectors.shape[1]))
+        for at in range(0, len(self.widths), BLOCK_WORDS):
+            block = slice(at, at + BLOCK_WORDS)
+            starts = ends[block] - self.widths[block]
+            grams = self.grams[starts[0] : ends[block][-1]]
+            of_word[block] = np.add.reduceat(vectors[grams], starts - starts[0], axis=0)
         found = np.empty((len(self.begins), vectors.shape[1]))
         counts = np.empty(len(self.begins))
         for block in self._blocks():
