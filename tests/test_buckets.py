@@ -1,7 +1,9 @@
 """Merging batches into buckets against the whole history, and totals that follow."""
 
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +103,83 @@ def test_null_keys_and_empty_batches(spark):
     merged(spark, table, first)
     assert merged(spark, table, first.limit(0)).touched == ()
     assert rows_of(spark.table(table).select(*first.columns)) == rows_of(first)
+
+
+def shuffled(spark):
+    """Bytes of shuffle files on this session's disks."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(f.stat().st_size for d in dirs for f in Path(d).glob("*/shuffle_*"))
+
+
+def settled(spark, most):
+    """Whether no more than ``most`` is left; files go shortly after the step."""
+    for _ in range(50):
+        if shuffled(spark) <= most:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_a_merge_of_many_rows_goes_by_rounds_and_keeps_no_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "ROUND_ROWS", 40, raising=False)
+    table, real, steps, left = "bucket_test.rounds", buckets._write, [], []
+    spark._jvm.System.gc()
+    time.sleep(1)
+    before = shuffled(spark)
+
+    def write(df, name, *more):
+        real(df, name, *more)
+        steps.append(name)
+        left.append(settled(spark, before))
+
+    monkeypatch.setattr(buckets, "_write", write)
+    rows = [(i, i % 90, 1, float(i % 7)) for i in range(600)]
+    assert merged(spark, table, lines(spark, "b0", rows)).touched == tuple(range(8))
+    # Every bucket has more rows than a round, so its rows and its totals are written before the next one's.
+    assert steps == [table, f"{table}_totals"] * 8
+    merged(spark, table, lines(spark, "b1", rows[:300]))
+    assert steps == [table, f"{table}_totals"] * 16 and all(left)
+    assert not [t.name for t in spark.catalog.listTables("bucket_test") if t.name.startswith("rounds__changes")]
+
+
+def test_rounds_give_what_one_merge_gives(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "ROUND_ROWS", 120)
+    table, rng, history = "bucket_test.by_rounds", random.Random(2), []
+    keyless = F.when(F.col("source_order_id") % 7 > 0, F.col("line"))
+    for n in range(2):
+        rows = [(i, rng.choice([None, i % 90]), rng.choice([None, 1, 2]), rng.choice([1.0, 9.99])) for i in rng.sample(range(500), 300)]
+        # Lines by id and order: the same id under another order is another row.
+        history.append(lines(spark, f"b{n}", rows + rows[:50]).withColumn("line", keyless))
+        merged(spark, table, history[-1])
+    every = history[0].unionByName(history[1]).withColumn("retracted", F.lit(False))
+    wanted = buckets.newest(every, ["line", "source_order_id"], "batch_id")
+    assert rows_of(spark.table(table).select(*wanted.columns)) == rows_of(wanted)
+    totals = item_totals(wanted)
+    assert rows_of(spark.table(f"{table}_totals").select(*totals.columns)) == rows_of(totals)
+    gone = wanted.filter("source_order_id < 60").withColumns({"batch_id": F.lit("b2"), "retracted": F.lit(True)})
+    # An untyped column of a later batch takes the table's type.
+    merged(spark, table, gone.withColumn("quantity", F.lit(None)))
+    stay = wanted.filter("line is null or source_order_id is null or source_order_id >= 60")
+    assert rows_of(spark.table(table).select(*stay.columns)) == rows_of(stay)
+
+
+def test_a_failed_merge_of_rounds_shows_and_leaves_nothing(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "ROUND_ROWS", 200)
+    table = "bucket_test.failed_rounds"
+    rows = [(i, i % 90, 1, 5.0) for i in range(600)]
+    merged(spark, table, lines(spark, "b0", rows))
+
+    def broken(of):
+        lost = F.raise_error(F.lit("lost")).cast("long")
+        return item_totals(of).withColumn("item_count", F.when(F.col("source_order_id") == 89, lost).otherwise(F.col("item_count")))
+
+    more = {k: spark.conf.get(k, None) for k in buckets._SETTINGS}
+    with pytest.raises(Exception, match="lost"):
+        buckets.merge(lines(spark, "b1", [(i, o, 3, p) for i, o, _, p in rows]), table, "line", "source_order_id", derived={f"{table}_totals": broken})
+    assert {r.quantity for r in spark.table(table).collect()} == {1}
+    assert {r.total_items_quantity for r in spark.table(f"{table}_totals").filter("source_order_id < 60").collect()} == {7}
+    assert not [t.name for t in spark.catalog.listTables("bucket_test") if t.name.startswith("failed_rounds__changes")]
+    assert more == {k: spark.conf.get(k, None) for k in buckets._SETTINGS}
+    spark.sql(f"CREATE TABLE {table}__changeskilled (x int) USING parquet")
+    assert buckets.sweep(spark, table, (f"{table}_totals",)) > 0 and not spark.catalog.tableExists(f"{table}__changeskilled")
+    assert spark.table(table).count() == 600
